@@ -55,7 +55,8 @@ def _expand(c: Column) -> Column:
     The text is cut only at those characters, so the work is proportional to
     how often they occur and not to the length of the text.
     """
-    table = F.create_map(*[F.lit(x) for kv in fold_tables()[2].items() for x in kv])
+    pairs = "\x01".join(f"{k}\x02{v}" for k, v in fold_tables()[2].items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
     cls = expansion_class()
     parts = F.regexp_extract_all(c, F.lit(f"([{cls}]|[^{cls}]++)"), F.lit(1))
     return F.array_join(

@@ -16,7 +16,8 @@ def write_delimited(df: DataFrame, path: str, separator: str = "|", encoding: st
     """Write ``df`` with a header line per part file; returns the number of rows written."""
     counted, seen = observed_rows(df)
     counted.write.options(
-        sep=separator, header="true", encoding=encoding, quote='"', escape='"'
+        sep=separator, header="true", encoding=encoding, quote='"', escape='"',
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
     ).csv(path)
     return seen.get["rows"]
 

@@ -25,24 +25,10 @@ NA_TOKENS = (
 _BAD = "__bad_line"
 
 
-def _reader(spark: SparkSession, dialect: Dialect, header: bool):
-    return spark.read.options(
-        sep=dialect.separator,
-        encoding=LATIN1 if dialect.encoding == CP1252 else dialect.encoding,
-        quote='"',
-        escape='"',
-        header=str(header).lower(),
-        multiLine=str(dialect.multiline).lower(),
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=_BAD,
-        # A pruned parse cannot tell how many fields a line has.
-        columnPruning="false",
-    )
-
-
 def read_header(spark: SparkSession, path: str, dialect: Dialect) -> list[str | None]:
     """The raw header fields of one file: a job that stops after the first line."""
-    first = _reader(spark, dialect, header=False).csv(glob_escaped(path)).first()
+    options = reader_options(dialect, header=False)
+    first = spark.read.options(**options).csv(glob_escaped(path)).first()
     fields = [] if first is None else list(first)
     if fields and fields[0]:
         fields[0] = fields[0].removeprefix("\ufeff")
@@ -65,6 +51,44 @@ def _surplus_fields(line: Column, dialect: Dialect, fields: int) -> Column:
     return separators >= fields
 
 
+def text_schema(fields: int) -> T.StructType:
+    """Schema of the raw read: every field as text, plus the line itself where it does not fit."""
+    names = [f"c{i}" for i in range(fields)] + [_BAD]
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def reader_options(dialect: Dialect, header: bool = True) -> dict[str, str]:
+    return {
+        "sep": dialect.separator,
+        "encoding": LATIN1 if dialect.encoding == CP1252 else dialect.encoding,
+        "quote": '"',
+        "escape": '"',
+        "header": str(header).lower(),
+        "multiLine": str(dialect.multiline).lower(),
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _BAD,
+        # A pruned parse cannot tell how many fields a line has.
+        "columnPruning": "false",
+    }
+
+
+def shaped(raw: DataFrame, names: Sequence[str], dialect: Dialect,
+           na_tokens: Sequence[str] = NA_TOKENS, *extra: Column) -> DataFrame:
+    """Named columns of a raw read: surplus rows dropped, missing tokens null, text decoded."""
+    fields = [f"c{i}" for i in range(len(names))]
+    # Always true where it is read, this mention of a field keeps plain row counts legal:
+    # Spark refuses queries that need nothing but the bad-line column.
+    has_field = F.length(F.coalesce(F.col(fields[0]), F.col(_BAD))) >= 0
+    surplus = _surplus_fields(F.col(_BAD), dialect, len(names))
+    fits = F.col(_BAD).isNull() | (~surplus & has_field)
+    tokens = list(na_tokens)
+    values = [
+        F.when(~F.col(f).isin(tokens), _decoded(F.col(f), dialect)).alias(n)
+        for f, n in zip(fields, names)
+    ]
+    return raw.where(fits).select(*values, *extra)
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -83,24 +107,13 @@ def read_delimited(
     if header is None:
         header = read_header(spark, paths[0], dialect)
     names = normalize_columns(header)
-    raw = [f"c{i}" for i in range(len(names))]
-    schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in raw] + [T.StructField(_BAD, T.StringType())]
+    raw = (
+        spark.read.options(**reader_options(dialect))
+        .schema(text_schema(len(names)))
+        .csv([glob_escaped(p) for p in paths])
     )
-    df = _reader(spark, dialect, header=True).schema(schema).csv([glob_escaped(p) for p in paths])
-    # Always true where it is read, this mention of a field keeps plain row counts legal:
-    # Spark refuses queries that need nothing but the bad-line column.
-    has_field = F.length(F.coalesce(F.col(raw[0]), F.col(_BAD))) >= 0
-    surplus = _surplus_fields(F.col(_BAD), dialect, len(names))
-    fits = F.col(_BAD).isNull() | (~surplus & has_field)
-    tokens = list(na_tokens)
-    values = [
-        F.when(~F.col(r).isin(tokens), _decoded(F.col(r), dialect)).alias(n)
-        for r, n in zip(raw, names)
-    ]
-    if with_file_name:
-        values.append(F.col("_metadata.file_name").alias("__file_name"))
-    return df.where(fits).select(*values)
+    extra = [F.col("_metadata.file_name").alias("__file_name")] if with_file_name else []
+    return shaped(raw, names, dialect, na_tokens, *extra)
 
 
 def _dialect(row) -> Dialect:

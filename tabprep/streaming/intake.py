@@ -6,14 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.names import normalize_columns
 from ..operators.clean import CleanConfig, CleanPlan, clean_table
 from ..operators.tables import TableStore
-from ..sources.delimited import NA_TOKENS
-from ..sources.dialect import CP1252, LATIN1, Dialect
+from ..sources.delimited import NA_TOKENS, reader_options, shaped, text_schema
+from ..sources.dialect import Dialect
 from ..sources.files import FileSystem, file_name, plain_path
 
 DEFAULT_INTERVAL = "10 seconds"
@@ -84,24 +83,15 @@ class FileIntake:
         self.log = f"{self.base}/batches"
 
     def _stream(self) -> DataFrame:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in self.names])
-        reader = self.spark.readStream.schema(schema).options(
-            sep=self.dialect.separator,
-            encoding=LATIN1 if self.dialect.encoding == CP1252 else self.dialect.encoding,
-            header="true",
-            quote='"',
-            escape='"',
-            multiLine=str(self.dialect.multiline).lower(),
-            pathGlobFilter=self.pattern,
+        reader = (
+            self.spark.readStream.schema(text_schema(len(self.names)))
+            .options(**reader_options(self.dialect))
+            .option("pathGlobFilter", self.pattern)
         )
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", str(self.max_files))
-        path = plain_path(F.col("_metadata.file_path"))
-        tokens = list(NA_TOKENS)
-        return reader.csv(self.source).select(
-            *[F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")).alias(n) for n in self.names],
-            path.alias("__path"),
-        )
+        path = plain_path(F.col("_metadata.file_path")).alias("__path")
+        return shaped(reader.csv(self.source), self.names, self.dialect, NA_TOKENS, path)
 
     def _land(self, batch: DataFrame, batch_id: int) -> None:
         target = f"{self.landing}/batch_id={batch_id}"
