@@ -112,7 +112,7 @@ class TableStore:
             ]
         )
         counted, seen = observed_rows(aligned)
-        counted.writeTo(quoted(name)).append()
+        counted.write.insertInto(quoted(name))
         return seen.get["rows"]
 
     def load(self, name: str, df: DataFrame, if_exists: str = "fail") -> int:

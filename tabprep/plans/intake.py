@@ -1,2 +1,128 @@
-QUERIES = {}
-ORACLES = {}
+"""Registered queries: new-file detection, cursors and the file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.tables import TableStore
+from ..session import scratch_path
+from ..sources.dialect import Dialect
+from ..streaming.intake import FileCursor, FileIntake, batch_summary, new_files
+from .cleaning import RECIPE_ORDERS_SQL
+from .inputs import DIRTY_ORDERS, derive, table
+from .loading import unique
+
+
+def listing(df, key):
+    """A file listing derived from a key column: one file per key."""
+    name = F.concat(F.lit("orders_"), F.col(key), F.lit(".csv"))
+    return df.select(name.alias("name"), F.concat(F.lit("/in/"), name).alias("path")).distinct()
+
+
+def customers(spark, sf):
+    return listing(table(spark, sf, "customer"), "c_custkey")
+
+
+def ordering(spark, sf):
+    return listing(table(spark, sf, "orders"), "o_custkey")
+
+
+def detect_new(spark, sf):
+    return new_files(customers(spark, sf), ordering(spark, sf)).select("path", "name")
+
+
+def advance_cursor(spark, sf):
+    """Three checks: everything is new; then nothing in a shorter listing; then the forgotten files."""
+    store = TableStore(spark, scratch_path(spark, "cursor"))
+    cursor = FileCursor(store, unique("cursor"))
+    out = []
+    for step, listed in enumerate((customers(spark, sf), ordering(spark, sf), customers(spark, sf))):
+        path = scratch_path(spark, "pending")
+        cursor.pending(listed).write.parquet(path)
+        cursor.advance(listed)
+        out.append(spark.read.parquet(path).select("path", F.lit(step).alias("step")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def reset_cursor(spark, sf):
+    store = TableStore(spark, scratch_path(spark, "cursor"))
+    cursor = FileCursor(store, unique("cursor"))
+    cursor.advance(customers(spark, sf))
+    cursor.reset()
+    return cursor.pending(customers(spark, sf)).select("path")
+
+
+def summary(spark, sf):
+    files = table(spark, sf, "documents").select(
+        F.concat("lang", F.lit("_"), "source", F.lit(".csv")).alias("name")
+    )
+    return batch_summary(files)
+
+
+DIRTY = ("order_id", "priority", "cust_txt", "sparse_5pct", "status", "status_copy", "flag", "const_col", "price")
+
+
+def dirty_intake(spark, sf, **options):
+    """An intake over dirty orders; files arrive in two lots, and the stream runs after each."""
+    source = scratch_path(spark, "arriving")
+    intake = FileIntake(spark, source, DIRTY, scratch_path(spark, "intake"), Dialect(";"), **options)
+    dirty = derive(spark, sf, DIRTY_ORDERS)
+    for lot in ("status = 'F'", "status <> 'F'"):
+        dirty.where(lot).write.mode("append").options(
+            sep=";", header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        ).csv(source)
+        intake.run_once()
+    return intake
+
+
+def stream_clean(spark, sf):
+    return dirty_intake(spark, sf).clean()[0]
+
+
+def stream_batches(spark, sf):
+    intake = dirty_intake(spark, sf)
+    per_batch = (
+        spark.read.parquet(intake.landing).groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count"))
+    )
+    return per_batch.join(intake.batches(), "batch_id").select(
+        "batch_id", "row_count", (F.size(F.split("new_files", ",")) == F.col("file_count")).alias("named")
+    )
+
+
+def stream_rerun(spark, sf):
+    """A second run under a new name takes every file in again."""
+    first = dirty_intake(spark, sf)
+    again = FileIntake(
+        spark, first.source, DIRTY, first.base.rsplit("/", 1)[0], Dialect(";"), run="second"
+    )
+    again.run_once()
+    return again.landed().agg(F.count(F.lit(1)).alias("row_count"))
+
+
+QUERIES = {
+    "inc_new_files": detect_new,
+    "inc_cursor_advance": advance_cursor,
+    "inc_reset_cursor": reset_cursor,
+    "inc_batch_summary": summary,
+    "inc_stream_clean_load": stream_clean,
+    "inc_stream_batches": stream_batches,
+    "inc_stream_rerun": stream_rerun,
+}
+
+_customers = "SELECT '/in/orders_' || c_custkey || '.csv' AS path FROM customer"
+_ordering = "SELECT DISTINCT '/in/orders_' || o_custkey || '.csv' AS path FROM orders"
+
+ORACLES = {
+    "inc_new_files": f"""SELECT path, replace(path, '/in/', '') AS name
+        FROM ({_customers} EXCEPT {_ordering})""",
+    "inc_cursor_advance": f"""SELECT path, 0 AS step FROM ({_customers})
+        UNION ALL SELECT path, 1 FROM ({_ordering} EXCEPT {_customers})
+        UNION ALL SELECT path, 2 FROM ({_customers} EXCEPT {_ordering})""",
+    "inc_reset_cursor": _customers,
+    "inc_batch_summary": """SELECT count(DISTINCT n) AS file_count, string_agg(DISTINCT n, ',' ORDER BY n) AS new_files
+        FROM (SELECT lang || '_' || source || '.csv' AS n FROM documents)""",
+    "inc_stream_clean_load": RECIPE_ORDERS_SQL,
+    "inc_stream_batches": """SELECT CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS batch_id,
+        count(*) AS row_count, TRUE AS named FROM orders GROUP BY 1""",
+    "inc_stream_rerun": "SELECT count(*) AS row_count FROM orders",
+}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.clean import CleanConfig, TableRecord, clean_report, clean_tables
 from ..session import scratch_path
 from ..sinks.base import LoadResult, Sink, load_all, load_report, load_summary
-from ..sources.delimited import extract
+from ..sources.delimited import extract, extract_parts
 
 
 @dataclass
@@ -29,16 +29,18 @@ def run_pipeline(
     config: CleanConfig | None = None,
     *,
     pattern: str = "*.csv",
+    by_layout: bool = False,
     on_error: str = "continue",
     parallelism: int = 4,
     stage_root: str | None = None,
 ) -> PipelineResult:
     """Extract, clean and load every file of a folder.
 
+    Each file is one table, or with ``by_layout`` all files of one layout are.
     Cleaned rows are staged once in shared storage, so that each sink reads the
     finished columns instead of cleaning again.
     """
-    found = extract(spark, folder, pattern)
+    found = (extract_parts if by_layout else extract)(spark, folder, pattern)
     stage = stage_root or scratch_path(spark, "stage")
     good = [r for r in found if r.status == "ok"]
     cleaned = clean_tables(good, config, parallelism=parallelism, stage_root=stage)

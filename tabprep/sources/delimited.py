@@ -161,7 +161,13 @@ class NoReadableFiles(ValueError):
 
 
 def extract_parts(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", parallelism: int = 16
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    *,
+    na_tokens: Sequence[str] = NA_TOKENS,
+    with_file_name: bool = False,
+    parallelism: int = 16,
 ) -> list[TableRecord]:
     """One record per distinct layout: files of equal dialect and header are read as one table.
 
@@ -174,14 +180,12 @@ def extract_parts(
         headers = list(pool.map(lambda r: tuple(read_header(spark, r.path, _dialect(r))), rows))
     groups: dict[tuple, list] = defaultdict(list)
     for row, header in zip(rows, headers):
-        key = (row.separator, row.encoding, bool(row.detected), header)
-        groups[key].append(row)
+        groups[(row.separator, row.encoding, bool(row.detected), header)].append(row)
     records = []
     for (separator, encoding, detected, header), members in groups.items():
         dialect = Dialect(separator, encoding, any(m.multiline for m in members), detected)
-        df = read_delimited(
-            spark, [m.path for m in members], dialect, header, with_file_name=True
-        )
+        paths = [m.path for m in members]
+        df = read_delimited(spark, paths, dialect, header, na_tokens, with_file_name)
         records.append(TableRecord(members[0].name, df, dialect=dialect, untyped=True))
     if not records:
         raise NoReadableFiles(f"no file in {folder} holds data rows")
