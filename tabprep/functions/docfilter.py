@@ -70,17 +70,30 @@ def _equals(schema, path: str, value) -> Column:
         return F.lit(True) if found is None else found[0].isNull()
     if found is None or _kind_of_type(found[1]) != _kind_of_value(value):
         return F.lit(False)
-    return F.coalesce(found[0] == F.lit(value), F.lit(False))
+    return found[0] == F.lit(value)
+
+
+def _not(c: Column) -> Column:
+    """The opposite, true also where the field is missing."""
+    return ~F.coalesce(c, F.lit(False))
+
+
+def _among(schema, path: str, values) -> Column:
+    found = _field(schema, path)
+    kind = None if found is None else _kind_of_type(found[1])
+    same = [v for v in values if v is not None and _kind_of_value(v) == kind]
+    hit = found[0].isin(same) if same else F.lit(False)
+    return hit | _equals(schema, path, None) if None in values else hit
 
 
 def _condition(schema, path: str, operator: str, value) -> Column:
     if operator == "$eq":
         return _equals(schema, path, value)
     if operator == "$ne":
-        return ~_equals(schema, path, value)
+        return _not(_equals(schema, path, value))
     if operator in ("$in", "$nin"):
-        hits = reduce(or_, [_equals(schema, path, v) for v in value], F.lit(False))
-        return hits if operator == "$in" else ~hits
+        hits = _among(schema, path, list(value))
+        return hits if operator == "$in" else _not(hits)
     found = _field(schema, path)
     if operator == "$exists":
         present = F.lit(False) if found is None else found[0].isNotNull()
@@ -88,12 +101,15 @@ def _condition(schema, path: str, operator: str, value) -> Column:
     if operator in _COMPARE:
         if found is None or _kind_of_type(found[1]) != _kind_of_value(value):
             return F.lit(False)
-        return F.coalesce(_COMPARE[operator](found[0], F.lit(value)), F.lit(False))
+        return _COMPARE[operator](found[0], F.lit(value))
     raise ValueError(f"unsupported filter operator: {operator}")
 
 
 def filter_column(schema: T.StructType, query: dict | None) -> Column:
-    """The filter as a Column that is true or false, never null."""
+    """The filter as a Column, true where a document matches and false or null elsewhere.
+
+    Comparisons stay plain, so that the scan can use them to skip data.
+    """
     terms = []
     for key, value in (query or {}).items():
         if key in ("$and", "$or"):

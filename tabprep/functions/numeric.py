@@ -16,8 +16,18 @@ INTEGER_PATTERN = r"\A\s*[+-]?[0-9]{1,19}\s*\z"
 BOOLEAN_PATTERN = r"\A(?:True|TRUE|true|False|FALSE|false)\z"
 
 
+def _may_be_number(c: Column) -> Column:
+    """Cheap test of the first character (digit, sign, dot, space, or the i of infinity).
+
+    Plain comparisons settle most words, so the regex runs on few of them.
+    """
+    return (
+        (c < ":") | ((c >= "I") & (c < "J")) | ((c >= "i") & (c < "j"))
+    )
+
+
 def looks_numeric(c: Column) -> Column:
-    return c.rlike(NUMBER_PATTERN)
+    return _may_be_number(c) & c.rlike(NUMBER_PATTERN)
 
 
 def looks_boolean(c: Column) -> Column:
@@ -31,7 +41,7 @@ def text_to_double(c: Column) -> Column:
 
 def text_to_long(c: Column) -> Column:
     """Parsed value, or null where the text is no 64-bit integer."""
-    return F.when(c.rlike(INTEGER_PATTERN), c.try_cast("bigint"))
+    return F.when((c < ":") & c.rlike(INTEGER_PATTERN), c.try_cast("bigint"))
 
 
 def fill_number(c: Column, dtype: str, fill: float = 0) -> Column:

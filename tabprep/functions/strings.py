@@ -70,16 +70,12 @@ def _fold_single(c: Column) -> Column:
 
 
 def _by_alphabet(c: Column, step) -> Column:
-    """Apply ``step(text, fold)`` with the cheapest fold that is exact for the value.
+    """Apply ``step(text, fold)`` without folding where the value is plain ASCII.
 
-    ASCII needs none, most accented text needs a one-to-one translation, and
-    only values holding ligatures, fractions and the like need expansion.
-    The tests read the raw column, so nothing is evaluated twice.
+    The test reads the raw column, so nothing is evaluated twice.
     """
-    return (
-        F.when(is_ascii(c), step(c, lambda x: x))
-        .when(c.rlike(f"[{expansion_class()}]"), step(c, lambda x: _fold_single(_expand(x))))
-        .otherwise(step(c, _fold_single))
+    return F.when(is_ascii(c), step(c, lambda x: x)).otherwise(
+        step(c, lambda x: _fold_single(_expand(x)))
     )
 
 

@@ -122,7 +122,7 @@ class CleanPlan:
         parse = numeric.text_to_long if rule.target_type == "bigint" else numeric.text_to_double
         return parse(c)
 
-    def _has_content(self) -> Column | None:
+    def _has_content(self, cleaned: dict[str, Column]) -> Column | None:
         """True for rows that hold something; ``None`` when no column can tell."""
         cfg = self.config
         texts = [r for r in self.rules if r.kind == TEXT]
@@ -133,9 +133,9 @@ class CleanPlan:
             for r in texts
             if r.source_type == "string" and not r.as_float
         ]
-        tests += [self._cleaned(r) != F.lit(cfg.na) for r in texts]
+        tests += [cleaned[r.name] != F.lit(cfg.na) for r in texts]
         if cfg.require_zero_numeric:
-            tests += [self._cleaned(r) != F.lit(0) for r in self.rules if r.kind == NUMBER]
+            tests += [cleaned[r.name] != F.lit(0) for r in self.rules if r.kind == NUMBER]
         return reduce(or_, [F.coalesce(t, F.lit(False)) for t in tests])
 
     def rows_removed(self) -> int | None:
@@ -155,17 +155,23 @@ class CleanPlan:
         were dropped need not be read.
         """
         named = df.toDF(*self.names)
-        condition = self._has_content()
-        if condition is not None and not (same_rows and self.rows_removed() == 0):
-            named = named.filter(condition)
-        return reduce(lambda d, f: d.transform(f), self.config.extra_steps, self.project(named))
+        cleaned = self.cleaned_columns()
+        if not (same_rows and self.rows_removed() == 0):
+            named = self.filtered(named, cleaned)
+        return reduce(lambda d, f: d.transform(f), self.config.extra_steps, self.project(named, cleaned))
 
-    def project(self, named: DataFrame) -> DataFrame:
+    def cleaned_columns(self) -> dict[str, Column]:
+        """Each cleaned column as an expression, built once for filter and projection."""
+        return {r.name: self._cleaned(r) for r in self.rules}
+
+    def filtered(self, named: DataFrame, cleaned: dict[str, Column]) -> DataFrame:
+        condition = self._has_content(cleaned)
+        return named if condition is None else named.filter(condition)
+
+    def project(self, named: DataFrame, cleaned: dict[str, Column]) -> DataFrame:
         """The surviving columns, cleaned, of a table with normalized names."""
-        keep = set(self.kept) if self.steps else {r.name for r in self.rules}
-        return named.select(
-            *[self._cleaned(r).alias(r.name) for r in self.rules if r.name in keep]
-        )
+        keep = set(self.kept) if self.steps else set(cleaned)
+        return named.select(*[e.alias(n) for n, e in cleaned.items() if n in keep])
 
 
 def _rule(column, dtype: T.DataType, rows: int, cfg: CleanConfig, untyped: bool) -> ColumnRule:
@@ -218,13 +224,14 @@ def _fit(df: DataFrame, cfg: CleanConfig, untyped: bool, stage_to: str | None):
     if n == 0 or not rules:
         raise EmptyTable(f"{n} rows, {len(rules)} columns left after dropping sparse columns")
 
-    cleaned = plan.apply(df)
+    expressions = plan.cleaned_columns()
+    cleaned = plan.project(plan.filtered(named, expressions), expressions)
     if stage_to is not None:
         cleaned.write.mode("overwrite").parquet(stage_to)
         cleaned = df.sparkSession.read.parquet(stage_to)
         variety = Variety(cleaned, cfg.min_distinct)
     else:
-        variety = Variety(cleaned, cfg.min_distinct, plan.project(named), n)
+        variety = Variety(cleaned, cfg.min_distinct, plan.project(named, expressions), n)
     low = set(variety.low_variety())
     varied = [r.name for r in rules if r.name not in low]
     copies = set(variety.duplicates(varied)) if variety.rows else set()

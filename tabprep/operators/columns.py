@@ -6,7 +6,6 @@ a plain ``select``; no row is moved for it.
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
@@ -48,49 +47,40 @@ def comparable_value(c: Column, dtype: T.DataType) -> Column:
     return c.cast("double") + F.lit(0.0) if is_number_type(dtype) else c
 
 
-def _sketch_size(min_distinct: int) -> tuple[float, int, float]:
-    """(relative error, registers, largest estimate that is a plain linear count)."""
-    return (0.39, 16, 10.0) if min_distinct <= 3 else (0.05, 512, 400.0)
+BITS = 64
 
 
-def proven_distinct(estimate: int, min_distinct: int) -> int:
-    """A number of distinct values that a sketch estimate proves.
+def proven_distinct(bits: int) -> int:
+    """A number of distinct values that a bitmap proves.
 
-    Every distinct value sets at most one of the m registers, and a small
-    estimate is round(m * ln(m / (m - set))).  The least number of set registers
-    that yields the estimate is therefore a lower bound, never a guess.
+    Each value, null included, sets one of 64 bits by its hash, so there are at
+    least as many distinct values as bits are set.
     """
-    _, m, linear = _sketch_size(min_distinct)
-    bounded = min(float(estimate), linear)
-    for registers in range(m):
-        if math.floor(m * math.log(m / (m - registers)) + 0.5) >= bounded:
-            return registers
-    return m
+    return (bits & (2**BITS - 1)).bit_count()
 
 
-def variety_partials(df: DataFrame, min_distinct: int) -> tuple[dict, dict, DataFrame]:
-    """Per column: a small distinct sketch, a null flag, and an order-free fingerprint.
+def variety_partials(df: DataFrame) -> tuple[dict, dict, DataFrame]:
+    """Per column: a bitmap of value hashes, and an order-free fingerprint.
 
     The fingerprint sums hashes salted with a row number.  Equal columns get
     equal sums in the same job, whatever the row order; a column that is merely
     a permutation of another does not.  Sums of 20-bit pieces cannot overflow
-    below 2**43 rows.
+    below 2**43 rows.  All buffers are single longs, updated in generated code.
     """
-    rsd, _, _ = _sketch_size(min_distinct)
     partials: dict[str, Column] = {"rows": F.count(F.lit(1))}
     merge = {"rows": "sum"}
     numbered = df.withColumn("__row", F.monotonically_increasing_id())
     members: dict[str, int] = defaultdict(int)
     for field in df.schema.fields:
         members[value_class(field.dataType)] += 1
+    one = F.lit(1).cast("bigint")
     for i, field in enumerate(df.schema.fields):
         if not is_comparable(field.dataType):
             continue
         value = comparable_value(col(field.name), field.dataType)
-        partials[f"distinct_{i}"] = F.approx_count_distinct(value, rsd)
-        merge[f"distinct_{i}"] = "max"
-        partials[f"null_{i}"] = F.max(value.isNull().cast("int"))
-        merge[f"null_{i}"] = "max"
+        position = F.xxhash64(value).bitwiseAND(F.lit(BITS - 1)).cast("int")
+        partials[f"bits_{i}"] = F.bit_or(F.call_function("shiftleft", one, position))
+        merge[f"bits_{i}"] = "bit_or"
         if members[value_class(field.dataType)] > 1:
             h = F.xxhash64(value, F.col("__row"))
             partials[f"low_{i}"] = F.sum(h.bitwiseAND(F.lit(0xFFFFF)))
@@ -110,7 +100,7 @@ class Variety:
         form: they then read only the columns they are about.
         """
         self.min_distinct = min_distinct
-        partials, merge, numbered = variety_partials(df, min_distinct)
+        partials, merge, numbered = variety_partials(df)
         self.measured = two_step_agg(numbered, partials, merge)
         self.rows: int = self.measured["rows"]
         self.df = unfiltered if unfiltered is not None and self.rows == unfiltered_rows else df
@@ -118,7 +108,7 @@ class Variety:
     def low_variety(self) -> list[str]:
         """Columns with fewer than ``min_distinct`` values, a null counting as one value.
 
-        The sketch clears most columns; only the rest are counted exactly.
+        The bitmap clears most columns; only the rest are counted exactly.
         """
         if self.min_distinct <= 1:
             return []
@@ -126,8 +116,7 @@ class Variety:
         for i, field in enumerate(self.df.schema.fields):
             if not is_comparable(field.dataType):
                 continue
-            proven = proven_distinct(self.measured[f"distinct_{i}"], self.min_distinct)
-            if proven + self.measured[f"null_{i}"] < self.min_distinct:
+            if proven_distinct(self.measured[f"bits_{i}"]) < self.min_distinct:
                 doubtful.append(field.name)
         if not doubtful or not self.rows:
             return doubtful

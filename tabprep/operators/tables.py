@@ -65,9 +65,8 @@ class TableStore:
 
     def _forget(self, location: str) -> None:
         """Delete a superseded version, but only one that lies below this root."""
-        if not self.keep_versions and location.startswith(("file:", self.root)):
-            if f"{self.root}/" in location and "/v-" in location:
-                FileSystem(self.spark).delete(location)
+        if not self.keep_versions and f"{self.root}/" in location and "/v-" in location:
+            FileSystem(self.spark).delete(location)
 
     def _publish(self, name: str, version: str, schema) -> None:
         if self.exists(name):

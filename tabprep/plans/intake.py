@@ -13,22 +13,22 @@ from .inputs import DIRTY_ORDERS, derive, table
 from .loading import unique
 
 
-def listing(df, key):
-    """A file listing derived from a key column: one file per key."""
-    name = F.concat(F.lit("orders_"), F.col(key), F.lit(".csv"))
+def listing(df):
+    """A file listing derived from document ids: one file per document."""
+    name = F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".csv"))
     return df.select(name.alias("name"), F.concat(F.lit("/in/"), name).alias("path")).distinct()
 
 
-def customers(spark, sf):
-    return listing(table(spark, sf, "customer"), "c_custkey")
+def all_files(spark, sf):
+    return listing(table(spark, sf, "documents"))
 
 
-def ordering(spark, sf):
-    return listing(table(spark, sf, "orders"), "o_custkey")
+def labelled_files(spark, sf):
+    return listing(table(spark, sf, "labels"))
 
 
 def detect_new(spark, sf):
-    return new_files(customers(spark, sf), ordering(spark, sf)).select("path", "name")
+    return new_files(all_files(spark, sf), labelled_files(spark, sf)).select("path", "name")
 
 
 def advance_cursor(spark, sf):
@@ -36,7 +36,7 @@ def advance_cursor(spark, sf):
     store = TableStore(spark, scratch_path(spark, "cursor"))
     cursor = FileCursor(store, unique("cursor"))
     out = []
-    for step, listed in enumerate((customers(spark, sf), ordering(spark, sf), customers(spark, sf))):
+    for step, listed in enumerate((all_files(spark, sf), labelled_files(spark, sf), all_files(spark, sf))):
         path = scratch_path(spark, "pending")
         cursor.pending(listed).write.parquet(path)
         cursor.advance(listed)
@@ -47,9 +47,9 @@ def advance_cursor(spark, sf):
 def reset_cursor(spark, sf):
     store = TableStore(spark, scratch_path(spark, "cursor"))
     cursor = FileCursor(store, unique("cursor"))
-    cursor.advance(customers(spark, sf))
+    cursor.advance(all_files(spark, sf))
     cursor.reset()
-    return cursor.pending(customers(spark, sf)).select("path")
+    return cursor.pending(all_files(spark, sf)).select("path")
 
 
 def summary(spark, sf):
@@ -109,16 +109,16 @@ QUERIES = {
     "inc_stream_rerun": stream_rerun,
 }
 
-_customers = "SELECT '/in/orders_' || c_custkey || '.csv' AS path FROM customer"
-_ordering = "SELECT DISTINCT '/in/orders_' || o_custkey || '.csv' AS path FROM orders"
+_all = "SELECT DISTINCT '/in/doc_' || doc_id || '.csv' AS path FROM documents"
+_labelled = "SELECT DISTINCT '/in/doc_' || doc_id || '.csv' AS path FROM labels"
 
 ORACLES = {
     "inc_new_files": f"""SELECT path, replace(path, '/in/', '') AS name
-        FROM ({_customers} EXCEPT {_ordering})""",
-    "inc_cursor_advance": f"""SELECT path, 0 AS step FROM ({_customers})
-        UNION ALL SELECT path, 1 FROM ({_ordering} EXCEPT {_customers})
-        UNION ALL SELECT path, 2 FROM ({_customers} EXCEPT {_ordering})""",
-    "inc_reset_cursor": _customers,
+        FROM ({_all} EXCEPT {_labelled})""",
+    "inc_cursor_advance": f"""SELECT path, 0 AS step FROM ({_all})
+        UNION ALL SELECT path, 1 FROM ({_labelled} EXCEPT {_all})
+        UNION ALL SELECT path, 2 FROM ({_all} EXCEPT {_labelled})""",
+    "inc_reset_cursor": _all,
     "inc_batch_summary": """SELECT count(DISTINCT n) AS file_count, string_agg(DISTINCT n, ',' ORDER BY n) AS new_files
         FROM (SELECT lang || '_' || source || '.csv' AS n FROM documents)""",
     "inc_stream_clean_load": RECIPE_ORDERS_SQL,

@@ -14,7 +14,7 @@ from ..functions.charmap import cp1252_tables
 from ..functions.names import col, normalize_columns
 from ..operators.clean import TableRecord
 from .dialect import CP1252, LATIN1, Dialect, detect_dialects, first_match
-from .files import glob_escaped, require_files
+from .files import FileSystem, glob_escaped, require_files
 
 # Field texts that mean "missing" when a file is read.
 NA_TOKENS = (
@@ -116,6 +116,29 @@ def read_delimited(
     return shaped(raw, names, dialect, na_tokens, *extra)
 
 
+def _layout(row) -> tuple:
+    """Files with an equal key have the same dialect and header line.
+
+    A header that goes on over a line break is told apart by its path.
+    """
+    header = row.path if row.header_open else row.header_hash
+    return row.separator, row.encoding, bool(row.detected), row.fields, header
+
+
+def _headers(spark: SparkSession, rows, parallelism: int) -> dict[tuple, list[str | None]]:
+    """One header per distinct layout, so that many files of one layout cost one small read."""
+    samples = {_layout(r): r for r in rows}
+
+    def one(row):
+        try:
+            return read_header(spark, row.path, _dialect(row))
+        except Exception as e:  # kept with the files it concerns
+            return e
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return dict(zip(samples, pool.map(one, samples.values())))
+
+
 def _dialect(row) -> Dialect:
     return Dialect(row.separator, row.encoding, bool(row.multiline), bool(row.detected))
 
@@ -139,18 +162,24 @@ def extract(
         dialects = first_match(dialects)
     listed = inventory.join(dialects.drop("name"), "path", "left").orderBy("name")
 
+    rows = listed.collect()
+    headers = _headers(spark, [r for r in rows if r.lines and r.lines > 1], parallelism)
+
     def one(row) -> TableRecord:
         if row.lines is None or row.lines < 2:
             return TableRecord(row.name, None, status="empty", rows=0, error="no data rows")
-        try:
-            dialect = _dialect(row)
-            df = read_delimited(spark, row.path, dialect)
-            return TableRecord(row.name, df, dialect=dialect, untyped=True)
-        except Exception as e:  # isolation of one file's failure from the others
-            return TableRecord(row.name, None, status="failed", error=str(e)[:500])
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        records = list(pool.map(one, listed.collect()))
+        header = headers[_layout(row)]
+        if isinstance(header, Exception):
+            return TableRecord(row.name, None, status="failed", error=str(header)[:500])
+        dialect = _dialect(row)
+        df = read_delimited(spark, row.path, dialect, header)
+        return TableRecord(row.name, df, dialect=dialect, untyped=True)
+
+    records = [one(row) for row in rows]
+    records += [
+        TableRecord(name, None, status="empty", rows=0, error="no bytes")
+        for name in FileSystem(spark).empty_files(folder, pattern)
+    ]
     if not any(r.status == "ok" for r in records):
         raise NoReadableFiles(f"no file in {folder} could be read")
     return records
@@ -176,13 +205,17 @@ def extract_parts(
     """
     require_files(spark, folder, pattern)
     rows = detect_dialects(spark, folder, pattern).where("lines > 1").orderBy("path").collect()
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        headers = list(pool.map(lambda r: tuple(read_header(spark, r.path, _dialect(r))), rows))
+    headers = _headers(spark, rows, parallelism)
     groups: dict[tuple, list] = defaultdict(list)
-    for row, header in zip(rows, headers):
-        groups[(row.separator, row.encoding, bool(row.detected), header)].append(row)
+    for row in rows:
+        groups[_layout(row)].append(row)
     records = []
-    for (separator, encoding, detected, header), members in groups.items():
+    for layout, members in groups.items():
+        header = headers[layout]
+        if isinstance(header, Exception):
+            records.append(TableRecord(members[0].name, None, status="failed", error=str(header)[:500]))
+            continue
+        separator, encoding, detected = layout[:3]
         dialect = Dialect(separator, encoding, any(m.multiline for m in members), detected)
         paths = [m.path for m in members]
         df = read_delimited(spark, paths, dialect, header, na_tokens, with_file_name)

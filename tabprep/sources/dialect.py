@@ -48,11 +48,13 @@ def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
         "value",
         F.when(F.col("block") == 0, F.monotonically_increasing_id()).alias("position"),
         F.is_valid_utf8("value").alias("valid"),
+        F.xxhash64("value").alias("line_hash"),
     )
     decoded = placed.select(
         "file",
         "position",
         "valid",
+        "line_hash",
         F.when(F.col("valid"), F.col("value"))
         .otherwise(F.decode(F.col("value").cast("binary"), LATIN1))
         .alias("text"),
@@ -61,6 +63,7 @@ def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
         "file",
         "position",
         "valid",
+        "line_hash",
         (~F.col("valid") & F.col("text").rlike(r"[\x80-\x9f]")).alias("c1"),
         (_occurrences(F.col("text"), '"') % 2 == 1).alias("open_quote"),
         F.regexp_replace("text", '"[^"]*+"', "").alias("bare"),
@@ -81,12 +84,15 @@ def detect_dialects(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
         "file",
         "position",
         "valid",
+        "line_hash",
         "c1",
         "open_quote",
         *[_occurrences(F.col("bare"), s).alias(n) for n, s in zip(counts, SEPARATORS)],
     )
     vectors = lines.groupBy("file", *counts).agg(
         F.count(F.lit(1)).alias("lines"),
+        F.min_by("line_hash", "position").alias("line_hash"),
+        F.min_by("open_quote", "position").alias("header_open"),
         F.min("position").alias("position"),
         F.min("valid").alias("valid"),
         F.max("c1").alias("c1"),
@@ -101,10 +107,14 @@ def detect_dialects(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
         )
     ).alias("c")
     per_count = (
-        vectors.select("file", "lines", "position", "valid", "c1", "open_quote", candidates)
+        vectors.select(
+            "file", "lines", "line_hash", "header_open", "position", "valid", "c1", "open_quote", candidates
+        )
         .groupBy("file", F.col("c.rank").alias("rank"), F.col("c.n").alias("n"))
         .agg(
             F.sum("lines").alias("lines"),
+            F.min_by("line_hash", "position").alias("line_hash"),
+            F.min_by("header_open", "position").alias("header_open"),
             F.min("position").alias("position"),
             F.min("valid").alias("valid"),
             F.max("c1").alias("c1"),
@@ -114,6 +124,8 @@ def detect_dialects(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
     per_separator = per_count.groupBy("file", "rank").agg(
         F.min_by("n", "position").alias("header_count"),
         F.min_by("lines", "position").alias("agreeing"),
+        F.min_by("line_hash", "position").alias("header_hash"),
+        F.min_by("header_open", "position").alias("header_open"),
         F.sum("lines").alias("lines"),
         F.min("valid").alias("valid"),
         F.max("c1").alias("c1"),
@@ -128,6 +140,8 @@ def detect_dialects(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
         F.min("valid").alias("valid"),
         F.max("c1").alias("c1"),
         F.max("open_quote").alias("multiline"),
+        F.max("header_hash").alias("header_hash"),
+        F.max("header_open").alias("header_open"),
     )
     found = F.col("best.header_count") > 0
     separator = F.element_at(F.array(*[F.lit(s) for s in SEPARATORS]), F.col("best.rank") + 1)
@@ -145,6 +159,8 @@ def detect_dialects(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
         (F.when(found, F.col("best.header_count")).otherwise(0) + 1).cast("int").alias("fields"),
         "lines",
         F.when(found, F.col("best.agreeing")).otherwise(F.col("lines")).alias("agreeing_lines"),
+        "header_hash",
+        "header_open",
     )
 
 

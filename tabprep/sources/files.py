@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,13 @@ class FileSystem:
         fs, p = self._open(path)
         return fs.delete(p, True)
 
+    def empty_files(self, folder: str, pattern: str) -> list[str]:
+        """Names of matching files without any byte, which Spark's own listings leave out."""
+        fs, p = self._open(folder)
+        found = [s for s in fs.listStatus(p) if s.getLen() == 0 and s.isFile()]
+        names = [s.getPath().getName() for s in found]
+        return sorted(n for n in names if fnmatch.fnmatchcase(n, pattern))
+
     def rename(self, source: str, target: str) -> None:
         fs, s = self._open(source)
         _, t = self._open(target)
@@ -77,6 +85,6 @@ def require_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> D
     if not FileSystem(spark).exists(folder):
         raise NoInputFiles(f"folder not found: {folder}")
     inventory = file_inventory(spark, folder, pattern)
-    if inventory.isEmpty():
+    if inventory.isEmpty() and not FileSystem(spark).empty_files(folder, pattern):
         raise NoInputFiles(f"no {pattern} files in {folder}")
     return inventory
