@@ -23,6 +23,7 @@ OTHER_WHITESPACE = (
     r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 WHITESPACE_CLASS = " " + OTHER_WHITESPACE
+OTHER_SPACES = "".join(chr(cp) for cp in range(1, 0x3001) if chr(cp).isspace() and cp != 0x20)
 
 
 def fold_code_point(ch: str) -> str:
@@ -57,7 +58,7 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
 
 @lru_cache(maxsize=None)
 def expansion_class(gap: int = 32) -> str:
-    """Regex class body covering every expansion with few ranges.
+    """Regex class covering every expansion with few ranges, to be put in brackets.
 
     Nearby code points are merged into one range.  The class may therefore
     cover characters that need no expansion, which is harmless, and it stays
@@ -69,7 +70,12 @@ def expansion_class(gap: int = 32) -> str:
             ranges[-1][1] = cp
         else:
             ranges.append([cp, cp])
-    return "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in ranges)
+    body = "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in ranges)
+    # Letters before and between the first two ranges are most of accented text;
+    # ruling them out first leaves two tests for them instead of one per range.
+    (first_lo, first_hi), (second_lo, _) = ranges[:2]
+    common = f"\\x00-{chr(first_lo - 1)}{chr(first_hi + 1)}-{chr(second_lo - 1)}"
+    return f"[^{common}]&&[{body}]"
 
 
 def fold_text(text: str) -> str:

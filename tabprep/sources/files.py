@@ -32,6 +32,11 @@ class FileSystem:
         fs, p = self._open(path)
         return fs.delete(p, True)
 
+    def size(self, path: str) -> int:
+        """Bytes below a path."""
+        fs, p = self._open(path)
+        return fs.getContentSummary(p).getLength()
+
     def empty_files(self, folder: str, pattern: str) -> list[str]:
         """Names of matching files without any byte, which Spark's own listings leave out."""
         fs, p = self._open(folder)
@@ -88,3 +93,19 @@ def require_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> D
     if inventory.isEmpty() and not FileSystem(spark).empty_files(folder, pattern):
         raise NoInputFiles(f"no {pattern} files in {folder}")
     return inventory
+
+
+SMALL_TABLE = 256 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, path: str, limit: int = SMALL_TABLE) -> DataFrame:
+    """A Parquet table for work that is heavy per row.
+
+    A small table often is one row group, hence one task.  Below ``limit`` bytes
+    its rows are spread over all cores, which moves little; a larger table is
+    left as it is scanned.
+    """
+    df = spark.read.parquet(path)
+    if FileSystem(spark).size(path) < limit:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
