@@ -122,21 +122,31 @@ class CleanPlan:
         parse = numeric.text_to_long if rule.target_type == "bigint" else numeric.text_to_double
         return parse(c)
 
-    def _has_content(self, cleaned: dict[str, Column]) -> Column | None:
-        """True for rows that hold something; ``None`` when no column can tell."""
+    def _has_content(self) -> Column | None:
+        """True for rows that hold something; ``None`` when no column can tell.
+
+        A cheap test per column settles almost every row.  The exact test after
+        it is one expression over all text columns, so that the plan of a wide
+        table does not hold every column's cleaning a second time.
+        """
         cfg = self.config
         texts = [r for r in self.rules if r.kind == TEXT]
         if not texts:
             return None
+        options = {"tokens": cfg.null_tokens, "na": cfg.na}
+        inputs = [self._text_input(r) for r in texts]
         tests = [
-            strings.surely_not_missing(col(r.name), tokens=cfg.null_tokens, na=cfg.na)
-            for r in texts
-            if r.source_type == "string" and not r.as_float
+            F.coalesce(strings.surely_not_missing(c, **options), F.lit(False)) for c in inputs
         ]
-        tests += [cleaned[r.name] != F.lit(cfg.na) for r in texts]
+        tests.append(
+            F.exists(
+                F.array(*inputs),
+                lambda x: strings.clean_text(x, keep_chars=cfg.keep_chars, **options) != F.lit(cfg.na),
+            )
+        )
         if cfg.require_zero_numeric:
-            tests += [cleaned[r.name] != F.lit(0) for r in self.rules if r.kind == NUMBER]
-        return reduce(or_, [F.coalesce(t, F.lit(False)) for t in tests])
+            tests += [self._cleaned(r) != F.lit(0) for r in self.rules if r.kind == NUMBER]
+        return reduce(or_, tests)
 
     def rows_removed(self) -> int | None:
         """How many empty rows the fitted table had, if known."""
@@ -157,15 +167,15 @@ class CleanPlan:
         named = df.toDF(*self.names)
         cleaned = self.cleaned_columns()
         if not (same_rows and self.rows_removed() == 0):
-            named = self.filtered(named, cleaned)
+            named = self.filtered(named)
         return reduce(lambda d, f: d.transform(f), self.config.extra_steps, self.project(named, cleaned))
 
     def cleaned_columns(self) -> dict[str, Column]:
-        """Each cleaned column as an expression, built once for filter and projection."""
+        """Each cleaned column as an expression."""
         return {r.name: self._cleaned(r) for r in self.rules}
 
-    def filtered(self, named: DataFrame, cleaned: dict[str, Column]) -> DataFrame:
-        condition = self._has_content(cleaned)
+    def filtered(self, named: DataFrame) -> DataFrame:
+        condition = self._has_content()
         return named if condition is None else named.filter(condition)
 
     def project(self, named: DataFrame, cleaned: dict[str, Column]) -> DataFrame:
@@ -225,7 +235,7 @@ def _fit(df: DataFrame, cfg: CleanConfig, untyped: bool, stage_to: str | None):
         raise EmptyTable(f"{n} rows, {len(rules)} columns left after dropping sparse columns")
 
     expressions = plan.cleaned_columns()
-    cleaned = plan.project(plan.filtered(named, expressions), expressions)
+    cleaned = plan.project(plan.filtered(named), expressions)
     if stage_to is not None:
         cleaned.write.mode("overwrite").parquet(stage_to)
         cleaned = df.sparkSession.read.parquet(stage_to)

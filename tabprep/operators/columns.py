@@ -47,6 +47,23 @@ def comparable_value(c: Column, dtype: T.DataType) -> Column:
     return c.cast("double") + F.lit(0.0) if is_number_type(dtype) else c
 
 
+def distinct_value(c: Column, dtype: T.DataType) -> Column:
+    """The value itself; only floating types need one spelling of zero."""
+    return c + F.lit(0).cast(dtype) if isinstance(dtype, _FLOATING) else c
+
+
+_FLOATING = (T.DoubleType, T.FloatType)
+
+
+def equal_values(a: Column, a_type: T.DataType, b: Column, b_type: T.DataType) -> Column:
+    """Whether two columns of one class agree in a row; exact types are compared exactly."""
+    if isinstance(a_type, _FLOATING) or isinstance(b_type, _FLOATING):
+        a, b = comparable_value(a, a_type), comparable_value(b, b_type)
+    elif a_type != b_type and T.BooleanType() in (a_type, b_type):
+        a, b = comparable_value(a, a_type), comparable_value(b, b_type)
+    return a.eqNullSafe(b)
+
+
 BITS = 64
 
 
@@ -77,11 +94,12 @@ def variety_partials(df: DataFrame) -> tuple[dict, dict, DataFrame]:
     for i, field in enumerate(df.schema.fields):
         if not is_comparable(field.dataType):
             continue
-        value = comparable_value(col(field.name), field.dataType)
-        position = F.xxhash64(value).bitwiseAND(F.lit(BITS - 1)).cast("int")
+        own = distinct_value(col(field.name), field.dataType)
+        position = F.xxhash64(own).bitwiseAND(F.lit(BITS - 1)).cast("int")
         partials[f"bits_{i}"] = F.bit_or(F.call_function("shiftleft", one, position))
         merge[f"bits_{i}"] = "bit_or"
         if members[value_class(field.dataType)] > 1:
+            value = comparable_value(col(field.name), field.dataType)
             h = F.xxhash64(value, F.col("__row"))
             partials[f"low_{i}"] = F.sum(h.bitwiseAND(F.lit(0xFFFFF)))
             partials[f"high_{i}"] = F.sum(F.shiftrightunsigned(h, 44))
@@ -146,7 +164,7 @@ def exact_distinct_counts(df: DataFrame, names) -> dict[str, int]:
     types = {f.name: f.dataType for f in df.schema.fields}
     entries = [
         F.struct(
-            F.lit(i).alias("c"), comparable_value(col(n), types[n]).cast("string").alias("v")
+            F.lit(i).alias("c"), distinct_value(col(n), types[n]).cast("string").alias("v")
         )
         for i, n in enumerate(names)
     ]
@@ -166,9 +184,7 @@ def confirm_duplicates(df: DataFrame, groups: list[list[str]]) -> list[str]:
         checks = [(group[0], other) for group in groups for other in group[1:]]
         same = df.agg(
             *[
-                F.bool_and(
-                    comparable_value(col(a), types[a]).eqNullSafe(comparable_value(col(b), types[b]))
-                ).alias(f"p{i}")
+                F.bool_and(equal_values(col(a), types[a], col(b), types[b])).alias(f"p{i}")
                 for i, (a, b) in enumerate(checks)
             ]
         ).first()

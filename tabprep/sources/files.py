@@ -102,10 +102,11 @@ def read_table(spark: SparkSession, path: str, limit: int = SMALL_TABLE) -> Data
     """A Parquet table for work that is heavy per row.
 
     A small table often is one row group, hence one task.  Below ``limit`` bytes
-    its rows are spread over all cores, which moves little; a larger table is
-    left as it is scanned.
+    its rows are spread, a megabyte or more per task, which moves little; a
+    larger table is left as it is scanned.
     """
     df = spark.read.parquet(path)
-    if FileSystem(spark).size(path) < limit:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    size = FileSystem(spark).size(path)
+    if size >= limit:
+        return df
+    return df.repartition(max(1, min(spark.sparkContext.defaultParallelism, size // 2**20)))

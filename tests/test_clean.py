@@ -148,3 +148,10 @@ def test_passes_shuffle_only_partial_results(dirty):
 def test_profile_counts(spark):
     p = profile_table(spark.createDataFrame([("1", float("nan")), ("x", 2.0), (None, None)], "a string, b double"))
     assert p.rows == 3 and [(c.non_null, c.numeric, c.integral) for c in p.columns] == [(2, 1, 1), (1, 1, 0)]
+
+
+def test_large_integers_are_told_apart(spark):
+    big = 2**60
+    df = spark.range(0, 3).select((F.col("id") + big).alias("a"), (big + 2 - F.col("id")).alias("b"))
+    assert columns.drop_low_variety_columns(df).columns == ["a", "b"]
+    assert columns.drop_duplicate_columns(df).columns == ["a", "b"]
