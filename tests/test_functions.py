@@ -115,7 +115,7 @@ def test_column_names_are_unique(raw):
 
 def test_file_and_table_names(spark):
     cases = {
-        "002_victims_transformed.csv": "tbl_002_victims_transformed", "my-data.csv": "my_data",
+        "002_report_transformed.csv": "tbl_002_report_transformed", "my-data.csv": "my_data",
         "Ñandú straße.csv": "nandu_strasse", "a.b.csv": "a_b", "noext": "noext",
     }
     assert {f: names.table_name(f) for f in cases} == cases
