@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabprep.llm import jaccard_join
+from tabprep.llm import decontaminate, jaccard_join
 from tabprep.llm.staging import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,9 +41,45 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles,
 FROM s
 """
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that lie in a 10-word passage of a benchmark item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    rows = decontaminate.contamination(docs, items, window=10, keep=["doc_id"])
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    names = F.array_join(F.array_sort("hit_items"), ",")
+    rows = rows.select("doc_id", "n_words", hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"))
+    return rows.withColumn("contaminated", F.col("n_hit") > 0)
+
+
+OP10_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, ws, least(len(ws), 10) AS n FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark) WHERE len(ws) > 0),
+bw AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS g
+  FROM (SELECT item, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM b)),
+dw AS (
+  SELECT r, i, n, array_to_string(ws[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+m AS (SELECT dw.r, dw.i, dw.n, bw.item FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
+h AS (SELECT r, count(DISTINCT i + k) AS n_hit FROM (SELECT r, i, unnest(range(0, n)) AS k FROM (SELECT DISTINCT r, i, n FROM m)) GROUP BY r),
+t AS (SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
 }
