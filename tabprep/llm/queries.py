@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import decontaminate, jaccard_join
+from tabprep.llm import decontaminate, jaccard_join, secret_scan
 from tabprep.llm.staging import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,15 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles,
 FROM s
 """
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document: pattern hits and structurally confirmed keys and tokens."""
+    rows = secret_scan.secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+    return rows.select("doc_id", *counts, F.sha2(written(of(*secret_scan.BASE_KINDS)), 256).alias("base_sha256"), written("secrets").alias("spans"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 10-word passage of a benchmark item."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -77,6 +86,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op5_secret_scans": op5_secret_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
