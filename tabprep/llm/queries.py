@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import decontaminate, jaccard_join, secret_scan
+from tabprep.llm import decontaminate, jaccard_join, quality_rules, secret_scan
 from tabprep.llm.staging import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,6 +50,43 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(written(of(*secret_scan.BASE_KINDS)), 256).alias("base_sha256"), written("secrets").alias("spans"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of each document and the verdict of the rule cascade."""
+    rows = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP8_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM t),
+g AS (
+  SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+rep AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM (
+    SELECT r, i, unnest(range(0, 5)) AS k FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1)
+  GROUP BY r),
+m AS (
+  SELECT doc_id, text, ws, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         len(ls) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN rep USING (r)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+         OR 2 * word_chars < 5 * n_words OR word_chars > 14 * n_words
+         OR 10 * length(regexp_replace(text, '[^{quality_rules.CAPITALS}]+', '', 'g')) > 3 * word_chars
+         OR 2 * length(regexp_replace(text, '[^!]+', '', 'g')) > n_words
+         OR 10 * len(list_filter(ws, lambda x: NOT regexp_matches(x, '\p{{L}}'))) > 4 * n_words) AS kept
+FROM b
+"""
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 10-word passage of a benchmark item."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -87,9 +124,11 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op5_secret_scans": op5_secret_scans,
+    "op8_quality_rules": op8_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
+    "op8_quality_rules": OP8_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
