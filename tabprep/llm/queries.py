@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import decontaminate, jaccard_join, quality_rules, secret_scan
+from tabprep.llm import decontaminate, jaccard_join, packing, quality_rules, secret_scan
 from tabprep.llm.staging import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,12 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles,
 FROM s
 """
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    rows = packing.packed(table(spark, sf_dir, "documents"), capacity=1024, ending=2, with_ids=False)
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: pattern hits and structurally confirmed keys and tokens."""
     rows = secret_scan.secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -123,6 +129,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
