@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import decontaminate, jaccard_join, packing, quality_rules, secret_scan
+from tabprep.llm import crf_language, decontaminate, jaccard_join, packing, quality_rules, secret_scan
 from tabprep.llm.staging import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,15 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles,
 FROM s
 """
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the ids that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = crf_language.held_out(0, 5)
+    field = crf_language.learned(docs.where(~out & F.col("doc_id").isNotNull()))
+    rows = crf_language.identified(docs, field, keep=["doc_id"])
+    return rows.select("doc_id", out.alias("held_out"), "lang_pred", "score", "n_switches")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     rows = packing.packed(table(spark, sf_dir, "documents"), capacity=1024, ending=2, with_ids=False)
@@ -129,6 +138,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
     "op8_quality_rules": op8_quality_rules,
