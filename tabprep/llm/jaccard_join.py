@@ -141,7 +141,7 @@ def _signed(size: int, percent: int, buckets: int):
                     ids.append(mark)
                 if n:
                     vector = np.minimum(rtree.count_vectors([shingles], groups_of(n))[0], 255).astype(np.uint8).tobytes()
-                records.append({"bucket": int(mark % buckets), "doc_id": doc_id, "n_shingles": n, "set_id": int(np.uint64(mark).astype(np.int64)), "vector": vector})
+                records.append({"bucket": len(records) % buckets, "doc_id": doc_id, "n_shingles": n, "set_id": int(np.uint64(mark).astype(np.int64)), "vector": vector})
             yield pa.RecordBatch.from_pylist(records, _BLOBS)
             held += len(raw)
             if held >= FLUSH_BYTES:
