@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import crf_language, decontaminate, jaccard_join, packing, quality_rules, secret_scan
-from tabprep.llm.staging import table
+from tabprep.llm import crf_language, decontaminate, jaccard_join, packing, qda_quality, quality_rules, secret_scan
+from tabprep.llm.staging import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,6 +65,16 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(written(of(*secret_scan.BASE_KINDS)), 256).alias("base_sha256"), written("secrets").alias("spans"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of ids that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = crf_language.held_out(2, 4)
+    vectors = Scratch(spark, "quality").write(qda_quality.with_statistics(docs.select("doc_id", "text"), keep=["doc_id"]))
+    model = qda_quality.learned(vectors, labels.where(~out).select("doc_id", "quality"))
+    rows = qda_quality.scored(vectors, model)
+    return rows.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of each document and the verdict of the rule cascade."""
     rows = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -141,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
