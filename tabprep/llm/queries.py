@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import crf_language, decontaminate, jaccard_join, packing, qda_quality, quality_rules, secret_scan
+from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, packing, qda_quality, quality_rules, secret_scan, token_counts
 from tabprep.llm.staging import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,6 +56,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every encoded length: what a context limit of that length keeps of all documents."""
+    return token_counts.limits(token_counts.histogram(table(spark, sf_dir, "documents")))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: pattern hits and structurally confirmed keys and tokens."""
     rows = secret_scan.secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -112,6 +117,36 @@ FROM b
 """
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every document."""
+    rows = license_scan.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ids = F.col("license_sentences")
+    return rows.select("doc_id", F.size(ids).cast("long").alias("n_sentences"), F.array_join(ids, ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
+def _op9_sql() -> str:
+    known = ", ".join(f"('{s}', '{name}')" for name, s in license_scan.SENTENCES.items())
+    steps = []
+    for k, (name, rule) in enumerate(license_scan.RULES):
+        pattern = license_scan.pattern_of(rule)
+        steps.append(f"s{k + 1} AS (SELECT * EXCLUDE (seq, names), regexp_replace(seq, '{pattern}', '+', 'g') AS seq, CASE WHEN regexp_matches(seq, '{pattern}') THEN list_append(names, '{name}') ELSE names END AS names FROM s{k})")
+    space = r"[\x20\x09-\x0D]+"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(coalesce(text, ''), '(?i)SPDX-License-Identifier:[ \t]*', 'SPDX-License-Identifier ', 'g') AS text FROM documents),
+v AS (SELECT r, 0 AS wrapped, text FROM d UNION ALL SELECT r, 1, regexp_replace(text, '{space}', ' ', 'g') FROM d),
+p AS (SELECT r, wrapped, string_split(regexp_replace(regexp_replace(text, '([.!?;]){space}', '\1' || chr(10), 'g'), ':{space}([A-Z0-9])', ':' || chr(10) || '\1', 'g'), chr(10)) AS parts FROM v),
+q AS (SELECT r, wrapped, i, trim(regexp_replace(lower(parts[i]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT r, wrapped, parts, unnest(range(1, len(parts) + 1)) AS i FROM p)),
+known(s, name) AS (VALUES {known}),
+ids AS (SELECT r, wrapped, list(name ORDER BY i) AS ids FROM q JOIN known USING (s) GROUP BY r, wrapped),
+s0 AS (SELECT r, wrapped, ids, array_to_string(ids, ',') || ',' AS seq, CAST([] AS VARCHAR[]) AS names FROM ids),
+{", ".join(steps)},
+best AS (SELECT r, arg_max(ids, len(ids) * 2 - wrapped) AS ids, list_sort(list_distinct(flatten(list(names)))) AS names FROM s{len(steps)} GROUP BY r)
+SELECT d.doc_id, CAST(coalesce(len(best.ids), 0) AS BIGINT) AS n_sentences, coalesce(array_to_string(best.ids, ','), '') AS sentence_ids,
+       coalesce(array_to_string(best.names, ','), '') AS licenses
+FROM d LEFT JOIN best USING (r)
+"""
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a 10-word passage of a benchmark item."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -150,13 +185,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_token_counts": op4_token_counts,
     "op5_secret_scans": op5_secret_scans,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
+    "op9_license_scans": op9_license_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op9_license_scans": _op9_sql(),
     "op10_benchmark_decontamination": OP10_SQL,
 }
