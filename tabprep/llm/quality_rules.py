@@ -153,3 +153,15 @@ def judged(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: in
         failed = failed | rule.rejects
     rows = with_measures(docs).withColumn("base_failed", failed)
     return rows.withColumn("kept", ~F.col("base_failed") & cascade(chosen)).drop("_text", "_words")
+
+
+def kept(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their own columns, whatever those are called.
+
+    Rows are dropped by exploding an array that is null for them: a filter would be pushed below the
+    measures, and every use of one would compute it anew.
+    """
+    own = [F.col(c).alias(f"_own{i}") for i, c in enumerate(docs.columns)]
+    rows = judged(docs.select(*own, docs["text"]), rules)
+    rows = rows.select(*(F.col(f"_own{i}") for i in range(len(own))), F.explode(F.when(F.col("kept"), F.array(F.lit(True)))).alias("_kept"))
+    return rows.select(*(F.col(f"_own{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -55,8 +55,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def prefiltered(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """``df`` without most rows whose ``column`` is not in ``ids`` (its first column); null always stays.
+def prefiltered(df: DataFrame, column: str, ids: DataFrame, keep: bool = True) -> DataFrame:
+    """``df`` without most rows whose ``column`` is not in ``ids`` (its first column), or just those rows.
+
+    With ``keep``, null always stays; without, what is returned is exactly what is left out with it.
 
     A bitmap of hashed ids, of a fixed size, is broadcast. It keeps every row that a later exact
     join needs, and lets that join shuffle little else as long as the ids are few.
@@ -66,5 +68,6 @@ def prefiltered(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     marks = ids.select(word(F.col(ids.columns[0])).alias("_at")).where("_at is not null")
     marks = marks.groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 as int))")).alias("_bits"))
     keyed = df.withColumn("_at", word(F.col(column))).withColumn("_word", F.shiftright("_at", 6))
-    kept = keyed.join(F.broadcast(marks), "_word", "left").where(F.col(column).isNull() | F.expr("_bits & shiftleft(1L, cast(_at & 63 as int)) <> 0"))
-    return kept.select(*df.columns)
+    marked = F.coalesce(F.expr("_bits & shiftleft(1L, cast(_at & 63 as int)) <> 0"), F.lit(False))
+    maybe = F.col(column).isNull() | marked
+    return keyed.join(F.broadcast(marks), "_word", "left").where(maybe if keep else ~maybe).select(*df.columns)
