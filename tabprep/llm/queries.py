@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, packing, qda_quality, quality_rules, secret_scan, token_counts
+from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, packing, qda_quality, quality_rules, secret_scan, token_counts
 from tabprep.llm.staging import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,6 +80,14 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from the ids that are not held out."""
+    out = crf_language.held_out(2, 7)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (~out & F.col("doc_id").isNotNull()).alias("train"))
+    rows = mixing_lm.language_model(docs)
+    return rows.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of each document and the verdict of the rule cascade."""
     rows = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -188,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_secret_scans": op5_secret_scans,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scans": op9_license_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
