@@ -73,7 +73,10 @@ def with_measures(docs: DataFrame) -> DataFrame:
     reach = F.transform("_again", lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get("_again", j + 1) - i, F.lit(WINDOW))))
     covered = F.aggregate(reach, F.lit(0), lambda n, k: n + k)
     rows = rows.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
-    return rows.drop("_lines", "_windows", "_equal", "_sorted", "_again")
+    # an explode of one struct: filters on a measure are not pushed below it, where each use would compute it anew
+    made = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "_text", "_words"]
+    rows = rows.select(*(c for c in docs.columns if c not in made), F.explode(F.array(F.struct(*made))).alias("_made"))
+    return rows.select("*", "_made.*").drop("_made")
 
 
 @dataclass(frozen=True)
@@ -156,12 +159,7 @@ def judged(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: in
 
 
 def kept(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their own columns, whatever those are called.
-
-    Rows are dropped by exploding an array that is null for them: a filter would be pushed below the
-    measures, and every use of one would compute it anew.
-    """
+    """The rows of ``docs`` that no rule rejects, with their own columns, whatever those are called."""
     own = [F.col(c).alias(f"_own{i}") for i, c in enumerate(docs.columns)]
-    rows = judged(docs.select(*own, docs["text"]), rules)
-    rows = rows.select(*(F.col(f"_own{i}") for i in range(len(own))), F.explode(F.when(F.col("kept"), F.array(F.lit(True)))).alias("_kept"))
+    rows = judged(docs.select(*own, docs["text"]), rules).where("kept")
     return rows.select(*(F.col(f"_own{i}").alias(c) for i, c in enumerate(docs.columns)))
