@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 
 from tabprep.llm import rtree, scan
 from tabprep.llm.graph import components
-from tabprep.llm.staging import Scratch, prefiltered
+from tabprep.llm.staging import Scratch, even_keys, prefiltered
 
 #: Members of a page or group that one task takes from one side.
 CHUNK = 2000
 #: Text bytes whose slices are sent on together.
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 #: Vector groups: a power of two near a quarter of the set size, within these limits.
 LEAST_GROUPS, MOST_GROUPS = 16, 512
 
@@ -75,7 +75,8 @@ def groups_of(size: int) -> int:
     return 1 << max(LEAST_GROUPS.bit_length() - 1, min(MOST_GROUPS.bit_length() - 1, int(size // 4).bit_length()))
 
 
-_GROUP_VALUES = scan.splitmix(64, 99)
+#: Groups of one block: many, so that few shingles already tell slices apart.
+_SLICE_GROUPS = np.uint64(1 << 20)
 
 
 def slice_keys(shingles: np.ndarray, number: int, d: int, blocks: int, content: int) -> np.ndarray:
@@ -85,7 +86,7 @@ def slice_keys(shingles: np.ndarray, number: int, d: int, blocks: int, content:
     block = (((shingles >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
     filled = np.bincount(block, minlength=blocks)
     total = np.zeros(len(shingles) + 1, np.uint64)
-    np.cumsum(_GROUP_VALUES[(shingles & np.uint64(63)).astype(np.int64)], out=total[1:])
+    np.cumsum(scan.mix(shingles & (_SLICE_GROUPS - np.uint64(1))), out=total[1:])
     ends = np.cumsum(filled)
     keys = scan.mix((total[ends] - total[ends - filled]) ^ scan.mix(np.arange(blocks, dtype=np.uint64) * np.uint64(4096) + np.uint64(number)))
     for least in range(content, -1, -1):
@@ -95,12 +96,23 @@ def slice_keys(shingles: np.ndarray, number: int, d: int, blocks: int, content:
     return keys
 
 
+def page_keys(shingles: np.ndarray, percent: int, table: list[tuple[int, int, int, int]], least: np.ndarray) -> np.ndarray:
+    """All pages of one set: of its own band, and of those where a linked larger set may be."""
+    band = int(np.searchsorted(least, len(shingles), "right")) - 1
+    found = [slice_keys(shingles, band, *table[band][1:])]
+    while least[band + 1] * percent <= 100 * len(shingles):
+        band += 1
+        found.append(slice_keys(shingles, band, *table[band][1:]))
+    return np.concatenate(found)
+
+
 _BLOBS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("vector", pa.binary())])
 BLOBS = "bucket int, keys binary, sets binary, doc_id long, n_shingles long, set_id long, vector binary"
 
 
-def _signed(size: int, percent: int, buckets: int):
+def _signed(size: int, percent: int, bucket_keys: list[int]):
     """Documents to their records, and to pages: one row for each bucket and flush, with packed keys."""
+    buckets = len(bucket_keys)
     table = bands(percent, 1 << 32)
     least_of = np.array([b[0] for b in table])
 
@@ -114,7 +126,7 @@ def _signed(size: int, percent: int, buckets: int):
             k, o = key[cuts[b] : cuts[b + 1]], owner[cuts[b] : cuts[b + 1]]
             used, local = np.unique(o, return_inverse=True)
             packed = (k >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            yield {"bucket": int(b), "keys": packed.tobytes(), "sets": np.uint32(len(used)).tobytes() + known[used].tobytes() + local.astype("<u2" if len(used) <= 65536 else "<u4").tobytes()}
+            yield {"bucket": bucket_keys[b], "keys": packed.tobytes(), "sets": np.uint32(len(used)).tobytes() + known[used].tobytes() + local.astype("<u2" if len(used) <= 65536 else "<u4").tobytes()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
@@ -130,18 +142,14 @@ def _signed(size: int, percent: int, buckets: int):
                 vector = None
                 if n and mark not in here:
                     here[mark] = len(ids)
-                    own = np.searchsorted(least_of, n, "right") - 1
-                    mine = [slice_keys(shingles, own, *table[own][1:])]
-                    if 100 * least_of[own + 1] * percent <= 10000 * n:  # a linked larger set may be in the next band
-                        mine.append(slice_keys(shingles, own + 1, *table[own + 1][1:]))
-                    found = np.concatenate(mine)
+                    found = page_keys(shingles, percent, table, least_of)
                     if len(found):
                         keys.append(found)
                         owners.append(np.full(len(found), len(ids), np.int64))
                     ids.append(mark)
                 if n:
                     vector = np.minimum(rtree.count_vectors([shingles], groups_of(n))[0], 255).astype(np.uint8).tobytes()
-                records.append({"bucket": len(records) % buckets, "doc_id": doc_id, "n_shingles": n, "set_id": int(np.uint64(mark).astype(np.int64)), "vector": vector})
+                records.append({"bucket": bucket_keys[len(records) % buckets], "doc_id": doc_id, "n_shingles": n, "set_id": int(np.uint64(mark).astype(np.int64)), "vector": vector})
             yield pa.RecordBatch.from_pylist(records, _BLOBS)
             held += len(raw)
             if held >= FLUSH_BYTES:
@@ -350,9 +358,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, chunk:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = 2 * parts
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = docs.mapInArrow(_signed(shingle, percent, buckets), BLOBS)
+    signed = docs.mapInArrow(_signed(shingle, percent, even_keys(spark, buckets)), BLOBS)
     found = scratch.write(signed.repartition(buckets, "bucket").mapInArrow(_pages, RECORDS), by="kind")
     records = found.where("kind = 0").select("doc_id", "n_shingles", "set_id", "vector")
     pages = found.where("kind = 1").select("page", "set_id").distinct()
@@ -362,7 +371,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, chunk:
     vectors = vectors.groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("vector").alias("vector"))
     members = _dealt(pages, "page", chunk).join(vectors, "set_id")
     members = members.select(_flat([F.col("page"), F.col("low"), F.col("high")], 1).alias("unit"), "side", "set_id", "n_shingles", "vector")
-    near = members.repartition(buckets, "unit").sortWithinPartitions("unit").mapInArrow(_bounded(percent), "u long, v long")
+    near = members.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_bounded(percent), "u long, v long")
     groups = scratch.write(components(near))
 
     dealt = _dealt(groups.select(F.col("node").alias("set_id"), "label"), "label", chunk)
@@ -371,7 +380,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, chunk:
     wanted = scratch.write(wanted)
     texts = prefiltered(docs, "doc_id", wanted.select("rep"))
     joined = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep)).select("unit", "side", "set_id", "text")
-    links = joined.repartition(buckets, "unit").sortWithinPartitions("unit").mapInArrow(_verified(shingle, percent), "u long, v long")
+    links = joined.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_verified(shingle, percent), "u long, v long")
     final = scratch.write(components(links))
 
     named = classes.join(final, classes.set_id == final.node, "left")

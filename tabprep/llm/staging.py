@@ -39,6 +39,13 @@ class Scratch:
                 files.delete(path)
 
 
+def even_keys(spark: SparkSession, count: int) -> list[int]:
+    """``count`` unlike integers, rising, that ``repartition(count, key)`` deals out to partitions of their own."""
+    place = F.pmod(F.hash("key"), F.lit(count))
+    keys = spark.range(64 * count).select(F.col("id").cast("int").alias("key")).groupBy(place.alias("place")).agg(F.min("key").alias("key")).collect()
+    return sorted(r["key"] for r in keys) if len(keys) == count else list(range(count))
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package from its folder, where they can see that folder.
 
