@@ -72,6 +72,7 @@ RULES = (
 #: Every known sentence has one of these words; other texts are settled by one match.
 TRIGGER = r"(?i)licen[cs]e|copyright|permission|warrant|free software|redistribut|rights reserved"
 SPACE = r"[\x20\x09-\x0D]+"
+BLANK_LINE = r"\x0A[\x20\x09\x0D]*\x0A"
 
 
 def pattern_of(rule: str) -> str:
@@ -80,9 +81,10 @@ def pattern_of(rule: str) -> str:
 
 
 def sentences(text: Column, wrapped: bool) -> Column:
-    """Normalised sentences; line breaks end one unless the text is ``wrapped``."""
+    """Normalised sentences; line breaks end one unless the text is ``wrapped``, where blank lines do."""
     text = F.regexp_replace(text, r"(?i)SPDX-License-Identifier:[ \t]*", "SPDX-License-Identifier ")
     if wrapped:
+        text = F.regexp_replace(text, BLANK_LINE, ".\n")
         text = F.regexp_replace(text, SPACE, " ")
     text = F.regexp_replace(text, rf"([.!?;]){SPACE}", "$1\n")
     text = F.regexp_replace(text, rf":{SPACE}([A-Z0-9])", ":\n$1")

@@ -138,10 +138,10 @@ def _op9_sql() -> str:
     for k, (name, rule) in enumerate(license_scan.RULES):
         pattern = license_scan.pattern_of(rule)
         steps.append(f"s{k + 1} AS (SELECT * EXCLUDE (seq, names), regexp_replace(seq, '{pattern}', '+', 'g') AS seq, CASE WHEN regexp_matches(seq, '{pattern}') THEN list_append(names, '{name}') ELSE names END AS names FROM s{k})")
-    space = r"[\x20\x09-\x0D]+"
+    space = license_scan.SPACE
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(coalesce(text, ''), '(?i)SPDX-License-Identifier:[ \t]*', 'SPDX-License-Identifier ', 'g') AS text FROM documents),
-v AS (SELECT r, 0 AS wrapped, text FROM d UNION ALL SELECT r, 1, regexp_replace(text, '{space}', ' ', 'g') FROM d),
+v AS (SELECT r, 0 AS wrapped, text FROM d UNION ALL SELECT r, 1, regexp_replace(regexp_replace(text, '{license_scan.BLANK_LINE}', '.' || chr(10), 'g'), '{space}', ' ', 'g') FROM d),
 p AS (SELECT r, wrapped, string_split(regexp_replace(regexp_replace(text, '([.!?;]){space}', '\1' || chr(10), 'g'), ':{space}([A-Z0-9])', ':' || chr(10) || '\1', 'g'), chr(10)) AS parts FROM v),
 q AS (SELECT r, wrapped, i, trim(regexp_replace(lower(parts[i]), '[^a-z0-9]+', ' ', 'g')) AS s FROM (SELECT r, wrapped, parts, unnest(range(1, len(parts) + 1)) AS i FROM p)),
 known(s, name) AS (VALUES {known}),
