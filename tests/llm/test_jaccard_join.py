@@ -86,11 +86,7 @@ def test_linked_sets_share_a_page(percent):
     least = np.array([b[0] for b in table])
 
     def pages(s):
-        own = np.searchsorted(least, len(s), "right") - 1
-        keys = set(jaccard_join.slice_keys(s, own, *table[own][1:]).tolist())
-        if 100 * least[own + 1] * percent <= 10000 * len(s):
-            keys |= set(jaccard_join.slice_keys(s, own + 1, *table[own + 1][1:]).tolist())
-        return keys
+        return set(jaccard_join.page_keys(s, percent, table, least).tolist())
 
     for _ in range(300):
         n = int(r.integers(1, 400))
