@@ -149,9 +149,9 @@ def update_columns(schema: T.StructType, update: dict) -> dict[str, Column]:
                 if dtype is None:
                     out[name] = F.lit(value)
                 else:
-                    out[name] = (F.coalesce(col(name), F.lit(0)) + F.lit(value)).cast(dtype)
+                    out[name] = F.coalesce(col(name), F.lit(0)) + F.lit(value)
             else:
-                out[name] = F.lit(value) if dtype is None else F.lit(value).cast(dtype)
+                out[name] = F.lit(value)
     return out
 
 

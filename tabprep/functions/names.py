@@ -69,9 +69,17 @@ def table_names(
     file_names: Iterable[str], prefix: str = "tbl_", on_collision: str = "error"
 ) -> dict[str, str]:
     """Table name per file; collisions raise, get a suffix, or share one name (``replace``)."""
+    names = list(dict.fromkeys(file_names))
+    return dict(zip(names, target_names(names, prefix, on_collision)))
+
+
+def target_names(
+    file_names: Iterable[str], prefix: str = "tbl_", on_collision: str = "error"
+) -> list[str]:
+    """Table names in the order of the files, which may repeat; collisions as in ``table_names``."""
     if on_collision not in ("error", "suffix", "replace"):
         raise ValueError(f"unknown on_collision: {on_collision}")
-    result: dict[str, str] = {}
+    result: list[str] = []
     owner: dict[str, str] = {}
     for file_name in file_names:
         base = name = table_name(file_name, prefix)
@@ -82,7 +90,7 @@ def table_names(
             n += 1
             name = f"{base}_{n}"
         owner[name] = file_name
-        result[file_name] = name
+        result.append(name)
     return result
 
 

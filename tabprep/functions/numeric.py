@@ -11,7 +11,7 @@ NUMBER_PATTERN = (
     r"\A\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*\z"
     r"|\A[+-]?(?i:inf|infinity)\z"
 )
-INTEGER_PATTERN = r"\A\s*[+-]?[0-9]{1,19}\s*\z"
+INTEGER_PATTERN = r"\A\s*[+-]?[0-9]+\s*\z"
 # Spellings of truth values in untyped text.
 BOOLEAN_PATTERN = r"\A(?:True|TRUE|true|False|FALSE|false)\z"
 

@@ -79,10 +79,13 @@ class CleanPlan:
     config: CleanConfig = field(default_factory=CleanConfig)
 
     def to_json(self) -> str:
-        return json.dumps(asdict(replace(self, config=replace(self.config, extra_steps=()))))
+        """The plan as text.  ``extra_steps`` are code: take them off first and give them to ``from_json``."""
+        if self.config.extra_steps:
+            raise ValueError("a plan with extra_steps cannot be written as JSON")
+        return json.dumps(asdict(self))
 
     @staticmethod
-    def from_json(text: str) -> CleanPlan:
+    def from_json(text: str, extra_steps: Sequence[Callable[[DataFrame], DataFrame]] = ()) -> CleanPlan:
         raw = json.loads(text)
         config = {k: tuple(v) if isinstance(v, list) else v for k, v in raw["config"].items()}
         return CleanPlan(
@@ -90,7 +93,7 @@ class CleanPlan:
             rules=tuple(ColumnRule(**r) for r in raw["rules"]),
             kept=tuple(raw["kept"]),
             steps=tuple(Step(**s) for s in raw["steps"]),
-            config=CleanConfig(**config),
+            config=replace(CleanConfig(**config), extra_steps=tuple(extra_steps)),
         )
 
     # -- expressions ----------------------------------------------------------------
@@ -184,6 +187,15 @@ class CleanPlan:
         return named.select(*[e.alias(n) for n, e in cleaned.items() if n in keep])
 
 
+def _normalized(wanted: Sequence[str], columns: Sequence[str], names: Sequence[str]) -> tuple[str, ...]:
+    """Columns given by their own or their normalized name, as normalized; raises on others."""
+    by_own = dict(zip(columns, names))
+    unknown = [c for c in wanted if c not in by_own and c not in names]
+    if unknown:
+        raise ValueError(f"no such columns: {unknown}")
+    return tuple(c if c in names else by_own[c] for c in wanted)
+
+
 def _rule(column, dtype: T.DataType, rows: int, cfg: CleanConfig, untyped: bool) -> ColumnRule:
     kind = classify(column, rows, dtype, cfg.min_numeric)
     if column.name in cfg.string_columns and kind == NUMBER:
@@ -222,6 +234,7 @@ def fit_plan(
 
 def _fit(df: DataFrame, cfg: CleanConfig, untyped: bool, stage_to: str | None):
     names = tuple(normalize_columns(df.columns))
+    cfg = replace(cfg, string_columns=_normalized(cfg.string_columns, df.columns, names))
     named = df.toDF(*names)
     profile = profile_table(named, untyped)
     n = profile.rows
@@ -322,18 +335,19 @@ def clean_tables(
     raises if none survives.
     """
 
-    def one(record: TableRecord) -> TableRecord:
-        stage = f"{stage_root}/{record.output_name}" if stage_root else None
+    def one(numbered: tuple[int, TableRecord]) -> TableRecord:
+        number, record = numbered
+        stage = f"{stage_root}/{number}-{record.output_name}" if stage_root else None
         try:
             out, plan = clean_table(record.df, config, untyped=record.untyped, stage_to=stage)
             return replace(record, df=out, plan=plan, rows=plan.steps[-1].rows_after)
         except EmptyTable as e:
             return replace(record, rows=0, status="empty", error=str(e))
         except Exception as e:  # isolation of one table's failure from the others
-            return replace(record, status="failed", error=f"{type(e).__name__}: {e}"[:500])
+            return replace(record, status="failed", error=f"{type(e).__name__}: {e}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(one, records))
+        results = list(pool.map(one, enumerate(records)))
     if not any(r.status == "ok" for r in results):
         raise ValueError("no table could be cleaned")
     return results

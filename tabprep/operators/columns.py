@@ -67,17 +67,28 @@ def equal_values(a: Column, a_type: T.DataType, b: Column, b_type: T.DataType) -
 BITS = 64
 
 
-def proven_distinct(bits: int) -> int:
+MOST_WORDS = 64
+
+
+def bitmap_words(min_distinct: int) -> int:
+    """Words of a bitmap that can prove so many distinct values, with room for equal hashes."""
+    words = max(1, -(-2 * min_distinct // BITS)) if min_distinct > BITS // 2 else 1
+    if words > MOST_WORDS:
+        raise ValueError(f"min_distinct above {MOST_WORDS * BITS // 2}: {min_distinct}")
+    return words
+
+
+def proven_distinct(*words: int) -> int:
     """A number of distinct values that a bitmap proves.
 
-    Each value, null included, sets one of 64 bits by its hash, so there are at
+    Each value, null included, sets one bit by its hash, so there are at
     least as many distinct values as bits are set.
     """
-    return (bits & (2**BITS - 1)).bit_count()
+    return sum((bits & (2**BITS - 1)).bit_count() for bits in words)
 
 
-def variety_partials(df: DataFrame) -> tuple[dict, dict, DataFrame]:
-    """Per column: a bitmap of value hashes, and an order-free fingerprint.
+def variety_partials(df: DataFrame, words: int = 1) -> tuple[dict, dict, DataFrame]:
+    """Per column: a bitmap of value hashes, of so many words, and an order-free fingerprint.
 
     The fingerprint sums hashes salted with a row number.  Equal columns get
     equal sums in the same job, whatever the row order; a column that is merely
@@ -96,8 +107,12 @@ def variety_partials(df: DataFrame) -> tuple[dict, dict, DataFrame]:
             continue
         own = distinct_value(col(field.name), field.dataType)
         position = F.xxhash64(own).bitwiseAND(F.lit(BITS - 1)).cast("int")
-        partials[f"bits_{i}"] = F.bit_or(F.call_function("shiftleft", one, position))
-        merge[f"bits_{i}"] = "bit_or"
+        bit = F.call_function("shiftleft", one, position)
+        word = F.pmod(F.shiftright(F.xxhash64(own), 6), F.lit(words))
+        for w in range(words):
+            mine = bit if words == 1 else F.when(word == w, bit).otherwise(F.lit(0).cast("bigint"))
+            partials[f"bits_{i}_{w}"] = F.bit_or(mine)
+            merge[f"bits_{i}_{w}"] = "bit_or"
         if members[value_class(field.dataType)] > 1:
             value = comparable_value(col(field.name), field.dataType)
             h = F.xxhash64(value, F.col("__row"))
@@ -118,7 +133,8 @@ class Variety:
         form: they then read only the columns they are about.
         """
         self.min_distinct = min_distinct
-        partials, merge, numbered = variety_partials(df)
+        self.words = bitmap_words(min_distinct)
+        partials, merge, numbered = variety_partials(df, self.words)
         self.measured = two_step_agg(numbered, partials, merge)
         self.rows: int = self.measured["rows"]
         self.df = unfiltered if unfiltered is not None and self.rows == unfiltered_rows else df
@@ -134,7 +150,7 @@ class Variety:
         for i, field in enumerate(self.df.schema.fields):
             if not is_comparable(field.dataType):
                 continue
-            if proven_distinct(self.measured[f"bits_{i}"]) < self.min_distinct:
+            if proven_distinct(*(self.measured[f"bits_{i}_{w}"] for w in range(self.words))) < self.min_distinct:
                 doubtful.append(field.name)
         if not doubtful or not self.rows:
             return doubtful

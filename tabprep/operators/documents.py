@@ -27,9 +27,23 @@ class Inserted:
     ids: DataFrame
 
 
+class DuplicateIds(ValueError):
+    """An id is null, occurs twice in a batch, or is already in the collection."""
+
+
 def document_id(keys) -> Column:
-    """A repeatable id from the columns that identify a document."""
-    return F.sha2(F.concat_ws("\x1f", *[col(k).cast("string") for k in keys]), 256)
+    """A repeatable id from the columns that identify a document.
+
+    Unlike keys have unlike encodings: a null is a mark of its own, and separators
+    within a value are escaped.
+    """
+    mark, separator = "\x1e", "\x1f"
+
+    def encoded(key: str) -> Column:
+        text = F.replace(col(key).cast("string"), F.lit(mark), F.lit(mark + "m"))
+        return F.coalesce(F.replace(text, F.lit(separator), F.lit(mark + "s")), F.lit(mark))
+
+    return F.sha2(F.concat_ws(separator, *[encoded(k) for k in keys]), 256)
 
 
 def as_json(df: DataFrame, name: str = "doc") -> DataFrame:
@@ -44,22 +58,34 @@ class DocumentStore(TableStore):
         """Append documents; ids come from ``keys`` or are random.
 
         Random ids are fixed by writing the batch once before it is appended.
+        Given ids must be new: see ``require_new_ids``.
         """
-        if ID in df.columns:
-            batch = df
-        elif keys:
-            batch = df.withColumn(ID, document_id(keys))
+        if ID in df.columns or keys:
+            batch = df if ID in df.columns else df.withColumn(ID, document_id(keys))
+            self.require_new_ids(name, batch)
         else:
             path = scratch_path(self.spark, "batch")
             df.withColumn(ID, F.expr("uuid()")).write.parquet(path)
             batch = self.spark.read.parquet(path)
         return Inserted(self.append(name, batch), batch.select(ID))
 
+    def require_new_ids(self, name: str, batch: DataFrame, alone: bool = False) -> None:
+        """Raises if an id of ``batch`` is null, repeated, or (unless ``alone``) in the collection."""
+        ids = batch.select(col(ID).alias("id"))
+        bad = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").select("id")
+        if not alone and self.exists(name):
+            bad = bad.union(ids.join(self.table(name).select(col(ID).alias("id")), "id", "left_semi"))
+        found = bad.limit(3).collect()
+        if found:
+            raise DuplicateIds(f"{name}: {[r.id for r in found]}")
+
     def insert_dataframe(self, name: str, df: DataFrame, replace: bool = False, keys=None) -> int:
         """Store the rows of ``df`` as documents, optionally dropping the collection first."""
         batch = df if ID in df.columns else df.withColumn(
             ID, document_id(keys) if keys else F.expr("uuid()")
         )
+        if ID in df.columns or keys:
+            self.require_new_ids(name, batch, alone=replace)
         return self.replace(name, batch) if replace else self.append(name, batch)
 
     def _where(self, name: str, query: dict | None) -> Column:

@@ -3,6 +3,7 @@
 A table is an external Parquet table below a root folder.  Each rewrite is
 written in full to a new version folder first and becomes visible with a
 change of the table's location, so a failed job leaves the table as it was.
+Older versions stay for whoever is reading them until ``vacuum``.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import col, quoted
 from ..sources.files import FileSystem
@@ -20,6 +22,10 @@ class TableExists(ValueError):
     """The target exists and may not be replaced."""
 
 
+class LossyChange(TypeError):
+    """A value would not survive in the type of its column."""
+
+
 class LoadMismatch(RuntimeError):
     """A loaded table does not hold what was written."""
 
@@ -37,10 +43,9 @@ def observed_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
 class TableStore:
     """Tables of one root folder, registered in the session catalog."""
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: bool = False):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep_versions = keep_versions
 
     # -- lookup -----------------------------------------------------------------------
 
@@ -55,31 +60,31 @@ class TableStore:
         return self.table(name).orderBy(*_as_list(order_by)).limit(n)
 
     def location(self, name: str) -> str:
-        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}")
-        return details.where("col_name = 'Location'").first().data_type
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()
+        about = next(i for i, r in enumerate(details) if r.col_name == "# Detailed Table Information")
+        return next(r.data_type for r in details[about:] if r.col_name == "Location")
 
     # -- whole tables -----------------------------------------------------------------
 
     def _new_version(self, name: str) -> str:
         return f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
 
-    def _forget(self, location: str) -> None:
-        """Delete a superseded version, but only one that lies below this root."""
-        if not self.keep_versions and f"{self.root}/" in location and "/v-" in location:
-            FileSystem(self.spark).delete(location)
+    def vacuum(self, name: str) -> int:
+        """Delete the versions of a table that it no longer shows; returns how many."""
+        files, folder = FileSystem(self.spark), f"{self.root}/{name}"
+        current = self.location(name).rstrip("/").rsplit("/", 1)[-1] if self.exists(name) else None
+        old = [v for v in files.names(folder) if v.startswith("v-") and v != current]
+        return sum(files.delete(f"{folder}/{v}") for v in old)
 
     def _publish(self, name: str, version: str, schema) -> None:
         if self.exists(name):
-            old = self.location(name)
             if self.table(name).schema == schema:
-                self.spark.sql(
-                    f"ALTER TABLE {quoted(name)} SET LOCATION '{version}'"
-                )
+                place = version.replace("\\", "\\\\").replace("'", "\\'")
+                self.spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{place}'")
                 self.spark.catalog.refreshTable(quoted(name))
             else:
                 self.spark.sql(f"DROP TABLE {quoted(name)}")
                 self._create(name, version, schema)
-            self._forget(old)
         else:
             self._create(name, version, schema)
 
@@ -91,14 +96,25 @@ class TableStore:
         version = self._new_version(name)
         counted, seen = observed_rows(df)
         counted.write.parquet(version)
+        rows = seen.get["rows"]
         self._publish(name, version, _nullable(df))
-        return seen.get["rows"]
+        return rows
 
     def append(self, name: str, df: DataFrame) -> int:
-        """Add rows by column name; columns that the table lacks are added to it."""
+        """Add rows by column name; columns that the table lacks are added to it.
+
+        Values keep their worth: where some would not survive in the type of their
+        column, the column is widened (which rewrites the table), or it raises.
+        """
         if not self.exists(name):
             return self.replace(name, df)
         current = self.table(name)
+        wider = _wider_types(df, current)
+        if wider:
+            _require_survival(current, wider)
+            widened = current.select(*[col(c).cast(wider[c]).alias(c) if c in wider else col(c) for c in current.columns])
+            self.replace(name, widened)
+            current = self.table(name)
         missing = [f for f in df.schema.fields if f.name not in current.columns]
         if missing:
             added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in missing)
@@ -126,9 +142,8 @@ class TableStore:
         """Drop a table and its files; false if there was none."""
         if not self.exists(name):
             return False
-        old = self.location(name)
         self.spark.sql(f"DROP TABLE {quoted(name)}")
-        self._forget(old)
+        self.vacuum(name)
         return True
 
     def create(self, name: str, schema: str) -> bool:
@@ -151,10 +166,16 @@ class TableStore:
     def update(self, name: str, where: Column, assignments: dict[str, Column]) -> tuple[int, int]:
         """Set columns on matching rows; returns (matched, modified).
 
-        One pass: counts are gathered while the new version is written.
+        One pass: counts are gathered while the new version is written.  A column
+        that cannot hold a new value is widened, or it raises.
         """
         table = self.table(name)
         matches = F.coalesce(where, F.lit(False))
+        changed = table.filter(matches).select(*[e.alias(n) for n, e in assignments.items()])
+        wider = _wider_types(changed, table)
+        if wider:
+            _require_survival(table, wider)
+            table = table.select(*[col(c).cast(wider[c]).alias(c) if c in wider else col(c) for c in table.columns])
         types = {f.name: f.dataType for f in table.schema.fields}
         new = {
             n: e.cast(types[n]) if n in types else e for n, e in assignments.items()
@@ -175,19 +196,24 @@ class TableStore:
         )
         version = self._new_version(name)
         out.write.parquet(version)
-        self._publish(name, version, _nullable(out))
         got = seen.get
+        self._publish(name, version, _nullable(out))
         return got["matched"], got["modified"]
 
     def delete(self, name: str, where: Column) -> int:
-        """Delete matching rows; returns how many."""
+        """Delete matching rows; returns how many.
+
+        The rows that stay are counted above the filter: a filter that keeps none is
+        folded away with all that lies below it.
+        """
         table = self.table(name)
-        matches = F.coalesce(where, F.lit(False))
-        counted, seen = observed(table, deleted=F.count_if(matches))
+        before = table.count()
+        kept, seen = observed_rows(table.filter(~F.coalesce(where, F.lit(False))))
         version = self._new_version(name)
-        counted.filter(~matches).write.parquet(version)
+        kept.write.parquet(version)
+        deleted = before - seen.get["rows"]
         self._publish(name, version, _nullable(table))
-        return seen.get["deleted"]
+        return deleted
 
 
 def _as_list(x):
@@ -196,11 +222,58 @@ def _as_list(x):
 
 def _nullable(df: DataFrame):
     """The schema as a file-based table reports it: every field may be null."""
-    from pyspark.sql import types as T
-
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
 
 
+_WIDTH = {T.ByteType(): 1, T.ShortType(): 2, T.IntegerType(): 3, T.LongType(): 4}
+
+
+def _survives(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether a value is the same again after a cast to ``target`` and back."""
+    return c.isNull() | c.try_cast(target).try_cast(source).eqNullSafe(c)
+
+
+def _always_fits(source: T.DataType, target: T.DataType) -> bool:
+    if source == target or isinstance(source, T.NullType) or isinstance(target, T.StringType):
+        return True
+    if source in _WIDTH:
+        return _WIDTH[source] <= _WIDTH.get(target, 0) or isinstance(target, T.DoubleType) and _WIDTH[source] < 4
+    return isinstance(source, T.FloatType) and isinstance(target, T.DoubleType)
+
+
+def _wider_types(new: DataFrame, table: DataFrame) -> dict[str, T.DataType]:
+    """Columns of ``table`` whose type cannot hold all values of ``new``, with one that can.
+
+    One aggregate over the columns in question.  Raises if no number type holds both.
+    """
+    types = {f.name: f.dataType for f in table.schema.fields}
+    doubtful = [f for f in new.schema.fields if f.name in types and not _always_fits(f.dataType, types[f.name])]
+    if not doubtful:
+        return {}
+    lost = new.agg(*[F.count_if(~_survives(col(f.name), f.dataType, types[f.name])) for f in doubtful]).first()
+    wider = {}
+    for f, n in zip(doubtful, lost):
+        if n:
+            old = types[f.name]
+            if not isinstance(f.dataType, T.NumericType) or not isinstance(old, T.NumericType):
+                raise LossyChange(f"{f.name} holds {old.simpleString()}; {n} values of {f.dataType.simpleString()} do not fit")
+            whole = f.dataType in _WIDTH and old in _WIDTH
+            wider[f.name] = f.dataType if whole else T.DoubleType()
+    _require_survival(new, wider)
+    return wider
+
+
+def _require_survival(df: DataFrame, types: dict[str, T.DataType]) -> None:
+    """Raises if a value of ``df`` would change in a cast to these types."""
+    fields = [f for f in df.schema.fields if f.name in types and not _always_fits(f.dataType, types[f.name])]
+    if not fields:
+        return
+    lost = df.agg(*[F.count_if(~_survives(col(f.name), f.dataType, types[f.name])) for f in fields]).first()
+    bad = [f.name for f, n in zip(fields, lost) if n]
+    if bad:
+        raise LossyChange(f"no type holds all values of {bad}")
+
+
 def value_counts(df: DataFrame, column: str, count_name: str = "count") -> DataFrame:
     """Rows per value, most frequent first; ties in value order.
 

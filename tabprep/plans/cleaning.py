@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import strings
 from ..functions.names import output_name_column, table_name_column
 from ..operators import clean, columns
-from ..sources.files import read_table
 from .inputs import (
     DIRTY_ORDERS,
     DIRTY_ROWS,
@@ -52,7 +51,7 @@ def priority_step(expression):
 
 
 def documents_cleaned(spark, sf):
-    d = read_table(spark, f"{sf}/documents.parquet")
+    d = spark.read.parquet(f"{sf}/documents.parquet")
     return d.select(
         "doc_id", *[strings.clean_text(F.col(c)).alias(c) for c in ("text", "lang", "source")]
     )

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_table
-from ..operators.documents import DocumentStore
+from ..operators.documents import DocumentStore, DuplicateIds
 from ..operators.tables import TableStore, run_sql, value_counts
 from ..session import scratch_path
 from .cleaning import RECIPE_ORDERS_SQL
 from .inputs import DIRTY_ORDERS, TABLES, derive, table
 from .loading import unique
 
-ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-EVENTS = ("event_id", "user_id", "event_type", "value", "props")
+ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
+EVENTS = ("event_id", "user_id", "event_type", "value", "props", "ts")
 
 
 def orders_of(spark, sf):
@@ -227,6 +227,61 @@ def collection_lifecycle(spark, sf):
     )
 
 
+def append_widening(spark, sf):
+    """Fractions appended to a column of whole numbers."""
+    store = TableStore(spark, scratch_path(spark, "tables"))
+    name = unique("orders")
+    orders = orders_of(spark, sf)
+    store.replace(name, orders.where("o_orderstatus = 'F'"))
+    store.append(name, orders.where("o_orderstatus <> 'F'").withColumn("o_custkey", F.col("o_custkey") + F.lit(0.5)))
+    return store.table(name)
+
+
+def delete_all_rows(spark, sf):
+    store, name = order_table(spark, sf)
+    deleted = store.delete(name, F.lit(True))
+    return store.table(name).agg(F.count(F.lit(1)).alias("remaining")).withColumn("deleted", F.lit(deleted).cast("long"))
+
+
+def increment_by_fraction(spark, sf):
+    store, name = event_collection(spark, sf)
+    modified = store.update_many(name, {"event_type": "click"}, {"$inc": {"user_id": 0.5}})
+    return store.table(name).withColumn("modified_count", F.lit(modified).cast("long"))
+
+
+def delete_all_documents(spark, sf):
+    store, name = event_collection(spark, sf)
+    deleted = store.delete_many(name, {})
+    return store.find_many(name).agg(F.count(F.lit(1)).alias("remaining")).withColumn("deleted", F.lit(deleted).cast("long"))
+
+
+def _halved_keys(spark, sf):
+    """Events with two keys of which one is null: (k, null) and (null, k) are unlike."""
+    half = F.expr("cast(floor(event_id / 2) as string)")
+    even = F.expr("pmod(event_id, 2) = 0")
+    return table(spark, sf, "events").withColumns({"left_key": F.when(even, half), "right_key": F.when(~even, half)})
+
+
+def null_keys(spark, sf):
+    store = DocumentStore(spark, scratch_path(spark, "docs"))
+    name = unique("events")
+    inserted = store.insert_many(name, _halved_keys(spark, sf), keys=["left_key", "right_key"])
+    return store.table(name).agg(F.count(F.lit(1)).alias("stored"), F.countDistinct("_id").alias("distinct_ids")).withColumn(
+        "inserted", F.lit(inserted.count).cast("long")
+    )
+
+
+def duplicate_ids(spark, sf):
+    """The same documents again: refused, and nothing is added."""
+    store, name = event_collection(spark, sf)
+    try:
+        store.insert_many(name, table(spark, sf, "events").select(*EVENTS), keys=["event_id"])
+        refused = False
+    except DuplicateIds:
+        refused = True
+    return store.table(name).agg(F.count(F.lit(1)).alias("stored")).withColumn("refused", F.lit(refused))
+
+
 QUERIES = {
     "sql_param_select": param_select,
     "sql_positional_select": positional_select,
@@ -248,6 +303,12 @@ QUERIES = {
     "doc_delete_many": delete_many,
     "doc_delete_first": delete_first,
     "doc_collection_lifecycle": collection_lifecycle,
+    "tbl_append_widening": append_widening,
+    "tbl_delete_all": delete_all_rows,
+    "doc_inc_fraction": increment_by_fraction,
+    "doc_delete_all": delete_all_documents,
+    "doc_null_keys": null_keys,
+    "doc_duplicate_ids": duplicate_ids,
 }
 
 _orders = ", ".join(ORDERS)
@@ -259,11 +320,11 @@ ORACLES = {
         WHERE o_orderstatus = 'O' AND o_totalprice >= 100000""",
     "sql_positional_select": "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW'",
     "tbl_insert_rows": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
+        CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority, o_orderdate,
         CAST((SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS INTEGER) AS affected FROM orders""",
     "tbl_update_where": f"""SELECT o_orderkey, o_custkey, o_orderstatus,
         CASE WHEN {_urgent} THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
-        CASE WHEN {_urgent} THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority,
+        CASE WHEN {_urgent} THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority, o_orderdate,
         CAST((SELECT count(*) FROM orders WHERE {_urgent}) AS INTEGER) AS matched,
         CAST((SELECT count(*) FROM orders WHERE {_urgent} AND (o_orderpriority <> '1-URGENT' OR o_totalprice <> 0))
              AS INTEGER) AS modified FROM orders""",
@@ -283,24 +344,33 @@ ORACLES = {
     "doc_find_many": f"SELECT * FROM {_docs} WHERE {FOUND_SQL}",
     "doc_find_limited": f"SELECT * FROM {_docs} WHERE {FOUND_SQL} ORDER BY value DESC, event_id LIMIT 25",
     "doc_find_first": f"SELECT * FROM {_docs} WHERE event_type = 'click' ORDER BY value DESC, event_id LIMIT 1",
-    "doc_insert_many": f"""SELECT _id, event_id, user_id, event_type, value,
+    "doc_insert_many": f"""SELECT _id, event_id, user_id, event_type, value, ts,
         CASE WHEN value >= 50 THEN props END AS props,
         CAST((SELECT count(*) FROM events) AS INTEGER) AS inserted FROM {_docs}""",
     "doc_insert_random_ids": """SELECT count(*) AS stored, count(*) AS distinct_ids, count(*) AS inserted
         FROM events""",
     "doc_update_many": f"""SELECT _id, event_id,
         CASE WHEN event_type = 'purchase' THEN user_id + 1000 ELSE user_id END AS user_id,
-        CASE WHEN event_type = 'purchase' THEN 'sale' ELSE event_type END AS event_type, value,
+        CASE WHEN event_type = 'purchase' THEN 'sale' ELSE event_type END AS event_type, value, ts,
         CASE WHEN event_type <> 'purchase' THEN props END AS props,
         CASE WHEN event_type = 'purchase' THEN TRUE END AS reviewed,
         CAST((SELECT count(*) FROM events WHERE event_type = 'purchase') AS INTEGER) AS modified_count FROM {_docs}""",
     "doc_update_first": f"""SELECT _id, event_id, user_id,
         CASE WHEN event_id = (SELECT min(event_id) FROM events WHERE event_type = 'purchase')
-             THEN 'sale' ELSE event_type END AS event_type, value, props, 1 AS modified_count FROM {_docs}""",
+             THEN 'sale' ELSE event_type END AS event_type, value, props, ts, 1 AS modified_count FROM {_docs}""",
     "doc_delete_many": f"""SELECT *, CAST((SELECT count(*) FROM events WHERE value < 40 AND event_type <> 'click')
         AS INTEGER) AS deleted_count FROM {_docs} WHERE NOT (value < 40 AND event_type <> 'click')""",
     "doc_delete_first": f"""SELECT *, 1 AS deleted_count FROM {_docs}
         WHERE event_id <> (SELECT max(event_id) FROM events WHERE event_type = 'click')""",
+    "tbl_append_widening": """SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS DOUBLE)
+        ELSE o_custkey + CAST(0.5 AS DOUBLE) END AS o_custkey) FROM (SELECT """ + _orders + """ FROM orders)""",
+    "tbl_delete_all": "SELECT CAST(0 AS BIGINT) AS remaining, count(*) AS deleted FROM orders",
+    "doc_inc_fraction": f"""SELECT * REPLACE (CASE WHEN event_type = 'click' THEN user_id + CAST(0.5 AS DOUBLE)
+        ELSE CAST(user_id AS DOUBLE) END AS user_id),
+        (SELECT count(*) FROM events WHERE event_type = 'click') AS modified_count FROM {_docs}""",
+    "doc_delete_all": "SELECT CAST(0 AS BIGINT) AS remaining, count(*) AS deleted FROM events",
+    "doc_null_keys": "SELECT count(*) AS stored, count(*) AS distinct_ids, count(*) AS inserted FROM events",
+    "doc_duplicate_ids": "SELECT count(*) AS stored, TRUE AS refused FROM events",
     "doc_collection_lifecycle": """SELECT * FROM (VALUES ('created', TRUE), ('created_again', FALSE),
         ('exists', TRUE), ('dropped', TRUE), ('dropped_again', FALSE)) t(step, answer),
         (SELECT count(*) AS documents FROM events)""",

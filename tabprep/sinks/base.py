@@ -52,7 +52,7 @@ def load_all(
     parallelism: int = 4,
     persist: bool = False,
 ) -> list[LoadResult]:
-    """Write every good table to every sink.  Sinks do not wait for each other.
+    """Write every good table to every sink; each pair of both is a unit of work of its own.
 
     ``on_error='continue'`` records a failed table and goes on; ``'fail'`` raises.
     Tables cleaned with ``stage_to`` are read back from their staged copy by each
@@ -71,21 +71,21 @@ def load_all(
         except Exception as e:
             if on_error == "fail":
                 raise
-            error = f"{type(e).__name__}: {e}"[:500]
+            error = f"{type(e).__name__}: {e}"
             return LoadResult(sink.name, record.output_name, record.name, None, None, None, "failed", error)
 
-    def fan_out(record: TableRecord) -> list[LoadResult]:
-        if persist:
+    if persist:
+        for record in good:
             record.df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return [one(sink, record) for sink in sinks]
-        finally:
-            if persist:
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            units = [pool.submit(one, sink, record) for record in good for sink in sinks]
+            return [unit.result() for unit in units]
+    finally:
+        if persist:
+            for record in good:
                 record.df.unpersist()
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return [result for results in pool.map(fan_out, good) for result in results]
-
 
 def load_report(spark: SparkSession, results: Sequence[LoadResult]) -> DataFrame:
     return spark.createDataFrame([astuple(r) for r in results], REPORT_SCHEMA)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from ..functions.names import table_names
+from ..functions.names import target_names
 from ..operators.clean import TableRecord
 from ..operators.documents import DocumentStore
 from ..operators.tables import TableStore, observed_rows
@@ -24,13 +24,13 @@ class _NamedTables:
         self._names: dict[str, str] = {}
 
     def prepare(self, records: Sequence[TableRecord]) -> None:
-        names = table_names([r.output_name for r in records], self.prefix, self.on_collision)
-        self._names = {k: self.name_prefix + v for k, v in names.items()}
+        names = target_names([r.output_name for r in records], self.prefix, self.on_collision)
+        self._names = {r.name: self.name_prefix + v for r, v in zip(records, names)}
 
     def target(self, record: TableRecord) -> str:
-        if record.output_name not in self._names:
+        if record.name not in self._names:
             self.prepare([record])
-        return self._names[record.output_name]
+        return self._names[record.name]
 
 
 class TableSink(_NamedTables):

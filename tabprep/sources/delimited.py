@@ -170,7 +170,7 @@ def extract(
             return TableRecord(row.name, None, status="empty", rows=0, error="no data rows")
         header = headers[_layout(row)]
         if isinstance(header, Exception):
-            return TableRecord(row.name, None, status="failed", error=str(header)[:500])
+            return TableRecord(row.name, None, status="failed", error=str(header))
         dialect = _dialect(row)
         df = read_delimited(spark, row.path, dialect, header)
         return TableRecord(row.name, df, dialect=dialect, untyped=True)
@@ -213,7 +213,7 @@ def extract_parts(
     for layout, members in groups.items():
         header = headers[layout]
         if isinstance(header, Exception):
-            records.append(TableRecord(members[0].name, None, status="failed", error=str(header)[:500]))
+            records.append(TableRecord(members[0].name, None, status="failed", error=str(header)))
             continue
         separator, encoding, detected = layout[:3]
         dialect = Dialect(separator, encoding, any(m.multiline for m in members), detected)

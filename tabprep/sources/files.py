@@ -32,6 +32,11 @@ class FileSystem:
         fs, p = self._open(path)
         return fs.delete(p, True)
 
+    def names(self, folder: str) -> list[str]:
+        """Names directly below a folder; none if it is missing."""
+        fs, p = self._open(folder)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
     def size(self, path: str) -> int:
         """Bytes below a path."""
         fs, p = self._open(path)
@@ -93,20 +98,3 @@ def require_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> D
     if inventory.isEmpty() and not FileSystem(spark).empty_files(folder, pattern):
         raise NoInputFiles(f"no {pattern} files in {folder}")
     return inventory
-
-
-SMALL_TABLE = 256 * 1024 * 1024
-
-
-def read_table(spark: SparkSession, path: str, limit: int = SMALL_TABLE) -> DataFrame:
-    """A Parquet table for work that is heavy per row.
-
-    A small table often is one row group, hence one task.  Below ``limit`` bytes
-    its rows are spread, a megabyte or more per task, which moves little; a
-    larger table is left as it is scanned.
-    """
-    df = spark.read.parquet(path)
-    size = FileSystem(spark).size(path)
-    if size >= limit:
-        return df
-    return df.repartition(max(1, min(spark.sparkContext.defaultParallelism, size // 2**20)))

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tabprep.functions.docfilter import filter_column, update_columns
 from tabprep.operators.clean import TableRecord
-from tabprep.operators.documents import DocumentStore, as_json
-from tabprep.operators.tables import LoadMismatch, TableExists, TableStore, run_sql, value_counts
+from tabprep.operators.documents import DocumentStore, DuplicateIds, as_json
+from tabprep.operators.tables import LoadMismatch, LossyChange, TableExists, TableStore, run_sql, value_counts
 from tabprep.plans.pipeline import run_pipeline
 from tabprep.sinks.base import load_all, load_report, load_summary
 from tabprep.sinks.catalog import ConnectorSink, DocumentSink, RelationalSink, TableSink
@@ -107,12 +107,13 @@ def test_table_store(spark, users, tmp_path):
     assert store.drop("people2") and not store.exists("people2")
 
 
-def test_old_versions_go_and_failed_writes_do_no_harm(spark, users, tmp_path):
+def test_old_versions_go_with_vacuum_and_failed_writes_do_no_harm(spark, users, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.replace("versions", users)
-    old = store.location("versions")
+    old, reader = store.location("versions"), store.table("versions")
     store.replace("versions", users)
-    assert not FileSystem(spark).exists(old)
+    assert reader.count() == 3 and store.vacuum("versions") == 1
+    assert not FileSystem(spark).exists(old) and store.table("versions").count() == 3
     with pytest.raises(Exception):
         store.update("versions", F.col("id") == 1, {"age": F.raise_error(F.lit("no")).cast("int")})
     assert store.table("versions").count() == 3
@@ -176,3 +177,53 @@ def test_whole_table_of_base_data(spark):
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     found = events.filter(filter_column(events.schema, {"event_type": {"$in": ["click"]}}))
     assert found.count() == events.where("event_type = 'click'").count()
+
+
+def test_deleting_everything(spark, users, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.replace("gone", users)
+    assert store.delete("gone", F.lit(True)) == 3 and store.table("gone").count() == 0
+    assert store.delete("gone", F.lit(True)) == 0
+    assert store.append("gone", users) == 3
+    store.drop("gone")
+
+
+def test_values_are_never_changed_by_a_narrow_column(spark, tmp_path):
+    store = DocumentStore(spark, f"{tmp_path}/it's here")
+    rows = spark.createDataFrame([("a", 1, "x"), ("b", 2**60, "y")], "_id string, n long, Location string")
+    store.replace("narrow", rows.where("n = 1"))
+    assert "/v-" in store.location("narrow")
+    assert store.append("narrow", spark.createDataFrame([("c", 1.7)], "_id string, n double")) == 1
+    assert sorted(r.n for r in store.table("narrow").collect()) == [1.0, 1.7]
+    with pytest.raises(LossyChange):
+        store.append("narrow", rows.where("n > 1").selectExpr("concat(_id, '!') as _id", "n + 1 as n"))
+    with pytest.raises(LossyChange):
+        store.append("narrow", spark.createDataFrame([("d", "many")], "_id string, n string"))
+    store.replace("counts", rows.selectExpr("_id", "n + 1 as n"))
+    with pytest.raises(LossyChange):
+        store.update_many("counts", {"_id": "a"}, {"$inc": {"n": 0.5}})  # 2**60 + 1 is no double
+    store.drop("narrow")
+    store.drop("counts")
+
+
+def test_fractions_widen_a_whole_column(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path))
+    store.replace("wide", spark.createDataFrame([("a", 1), ("b", 2)], "_id string, n long"))
+    assert store.update_many("wide", {"_id": "a"}, {"$inc": {"n": 0.5}}) == 1
+    assert store.update_many("wide", {"_id": "b"}, {"$set": {"n": 7.9}}) == 1
+    assert sorted(r.n for r in store.table("wide").collect()) == [1.5, 7.9]
+    store.drop("wide")
+
+
+def test_ids_tell_documents_apart(spark, tmp_path):
+    store = DocumentStore(spark, str(tmp_path))
+    keys = [(None, "x"), ("x", None), ("x", "x"), (None, None), ("x\x1fx", "y"), ("x", "x\x1fy"), ("\x1e", "x")]
+    docs = spark.createDataFrame(keys, "a string, b string")
+    assert store.insert_many("ids", docs, keys=["a", "b"]).ids.distinct().count() == len(keys)
+    for again in (docs.limit(1), docs.union(docs).selectExpr("concat(a, 'z') as a", "b")):
+        with pytest.raises(DuplicateIds):
+            store.insert_many("ids", again, keys=["a", "b"])
+    assert store.update_one("ids", {"b": "x"}, {"$set": {"b": "z"}}) == 1
+    assert store.delete_one("ids", {}) == 1 and store.delete_one("ids", {"b": "none"}) == 0
+    assert store.delete_many("ids", {}) == len(keys) - 1
+    store.drop("ids")
