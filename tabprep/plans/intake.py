@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators.tables import TableStore
 from ..session import scratch_path
+from ..sinks.catalog import TableSink
+from ..sources.delimited import union_parts
 from ..sources.dialect import Dialect
 from ..streaming.intake import FileCursor, FileIntake, batch_summary, new_files
 from .cleaning import RECIPE_ORDERS_SQL
 from .inputs import DIRTY_ORDERS, derive, table
 from .loading import unique
+from .pipeline import process_new, stream_to_targets
 
 
 def listing(df):
@@ -99,7 +102,60 @@ def stream_rerun(spark, sf):
     return again.landed().agg(F.count(F.lit(1)).alias("row_count"))
 
 
+LOTS = ((";", "o_orderstatus = 'F'", ("o_orderkey", "o_totalprice", "o_clerk_note")), (",", "o_orderstatus <> 'F'", ("o_totalprice", "o_clerk_note", "o_orderkey")))
+
+
+def arriving(spark, sf, folder, lot):
+    """Part of the orders as files; each lot has its own separator and order of columns."""
+    sep, which, columns = LOTS[lot]
+    note = F.concat("o_orderpriority", F.lit(" "), F.col("o_orderkey").cast("string")).alias("o_clerk_note")
+    orders = table(spark, sf, "orders").where(which).select("o_orderkey", "o_totalprice", note)
+    orders.select(*columns).repartition(2, "o_orderkey").write.mode("append").options(sep=sep, header="true").csv(folder)
+
+
+def loaded(store):
+    """All tables of a store, by column name."""
+    names = [t.name for t in store.spark.catalog.listTables() if store.root in _place(store, t.name)]
+    out = [store.table(n).select("O_ORDERKEY", "O_TOTALPRICE") for n in names]
+    return union_parts(out)
+
+
+def _place(store, name):
+    try:
+        return store.location(name)
+    except StopIteration:  # a view
+        return ""
+
+
+def stream_targets(spark, sf):
+    """Two lots of unlike files, each streamed through extraction and cleaning into verified tables."""
+    folder, work = scratch_path(spark, "arriving"), scratch_path(spark, "work")
+    store = TableStore(spark, scratch_path(spark, "tables"))
+    sink = TableSink(store, name_prefix=unique("t") + "_")
+    for lot in range(len(LOTS)):
+        arriving(spark, sf, folder, lot)
+        stream_to_targets(spark, folder, work, [sink], interval=None).awaitTermination()
+    return loaded(store)
+
+
+def new_files_to_targets(spark, sf):
+    """The same by listing: a cursor that passes on only what is new; a third check finds nothing."""
+    folder = scratch_path(spark, "arriving")
+    store, seen = TableStore(spark, scratch_path(spark, "tables")), TableStore(spark, scratch_path(spark, "cursor"))
+    sink, cursor = TableSink(store, name_prefix=unique("n") + "_"), FileCursor(seen, unique("cursor"))
+    taken = []
+    for lot in range(len(LOTS)):
+        arriving(spark, sf, folder, lot)
+        taken.append(sum(r.rows for r in process_new(spark, folder, cursor, [sink]).records if r.status == "ok"))
+    again = process_new(spark, folder, cursor, [sink])
+    return loaded(store).agg(F.count(F.lit(1)).alias("row_count"), F.sum("O_ORDERKEY").alias("keys")).withColumns(
+        {"first_lot": F.lit(taken[0]).cast("long"), "second_lot": F.lit(taken[1]).cast("long"), "third": F.lit(again is not None)}
+    )
+
+
 QUERIES = {
+    "inc_stream_to_targets": stream_targets,
+    "inc_new_to_targets": new_files_to_targets,
     "inc_new_files": detect_new,
     "inc_cursor_advance": advance_cursor,
     "inc_reset_cursor": reset_cursor,
@@ -113,6 +169,10 @@ _all = "SELECT DISTINCT '/in/doc_' || doc_id || '.csv' AS path FROM documents"
 _labelled = "SELECT DISTINCT '/in/doc_' || doc_id || '.csv' AS path FROM labels"
 
 ORACLES = {
+    "inc_stream_to_targets": 'SELECT o_orderkey AS "O_ORDERKEY", o_totalprice AS "O_TOTALPRICE" FROM orders',
+    "inc_new_to_targets": """SELECT count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+        count(*) FILTER (o_orderstatus = 'F') AS first_lot, count(*) FILTER (o_orderstatus <> 'F') AS second_lot,
+        FALSE AS third FROM orders""",
     "inc_new_files": f"""SELECT path, replace(path, '/in/', '') AS name
         FROM ({_all} EXCEPT {_labelled})""",
     "inc_cursor_advance": f"""SELECT path, 0 AS step FROM ({_all})

@@ -1,4 +1,4 @@
-"""The whole path from a folder of files to loaded, verified tables."""
+"""The whole path from a folder of files to loaded, verified tables, at once or as files arrive."""
 
 from __future__ import annotations
 
@@ -6,11 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import CleanConfig, TableRecord, clean_report, clean_tables
 from ..session import scratch_path
 from ..sinks.base import LoadResult, Sink, load_all, load_report, load_summary
 from ..sources.delimited import extract, extract_parts
+from ..sources.files import file_inventory
+from ..streaming.intake import DEFAULT_INTERVAL, FileCursor
 
 
 @dataclass
@@ -33,14 +37,17 @@ def run_pipeline(
     on_error: str = "continue",
     parallelism: int = 4,
     stage_root: str | None = None,
+    paths: Sequence[str] | None = None,
 ) -> PipelineResult:
-    """Extract, clean and load every file of a folder.
+    """Extract, clean and load every file of a folder, or those of its files that ``paths`` names.
 
     Each file is one table, or with ``by_layout`` all files of one layout are.
     Cleaned rows are staged once in shared storage, so that each sink reads the
     finished columns instead of cleaning again.
     """
-    found = (extract_parts if by_layout else extract)(spark, folder, pattern)
+    if by_layout and paths is not None:
+        raise ValueError("by_layout takes whole folders")
+    found = extract_parts(spark, folder, pattern) if by_layout else extract(spark, folder, pattern, paths=paths)
     stage = stage_root or scratch_path(spark, "stage")
     good = [r for r in found if r.status == "ok"]
     cleaned = clean_tables(good, config, parallelism=parallelism, stage_root=stage)
@@ -48,3 +55,48 @@ def run_pipeline(
     loads = load_all(records, sinks, on_error=on_error, parallelism=parallelism)
     report = load_report(spark, loads)
     return PipelineResult(records, clean_report(spark, records), loads, report, load_summary(report))
+
+
+def process_new(
+    spark: SparkSession, folder: str, cursor: FileCursor, sinks: Sequence[Sink],
+    config: CleanConfig | None = None, *, pattern: str = "*.csv", **options,
+) -> PipelineResult | None:
+    """Take in the files that ``cursor`` has not seen, then advance it; ``None`` if there are none.
+
+    One stored listing serves both, and the cursor moves after loading: a run that
+    fails finds the same files again.
+    """
+    path = scratch_path(spark, "listing")
+    file_inventory(spark, folder, pattern).write.parquet(path)
+    listing = spark.read.parquet(path)
+    names = [r.path for r in cursor.pending(listing).select("path").collect()]
+    result = run_pipeline(spark, folder, sinks, config, pattern=pattern, paths=names, **options) if names else None
+    cursor.advance(listing)
+    return result
+
+
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def stream_to_targets(
+    spark: SparkSession, folder: str, work: str, sinks: Sequence[Sink],
+    config: CleanConfig | None = None, *, pattern: str = "*.csv",
+    interval: str | None = DEFAULT_INTERVAL, max_files: int | None = None, **options,
+) -> StreamingQuery:
+    """Extract, clean and load files as they arrive, each with its own dialect and header.
+
+    The stream carries paths only.  A batch that is replayed replaces the tables it
+    loaded before.  With ``interval=None`` it takes what is there and stops.
+    """
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", pattern)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    files = reader.load(folder).select(F.regexp_replace("path", r"\Afile:/+", "file:/").alias("path"))
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        names = [r.path for r in batch.collect()]
+        if names:
+            run_pipeline(batch.sparkSession, folder, sinks, config, pattern=pattern, paths=names, **options)
+
+    writer = files.writeStream.foreachBatch(take_in).option("checkpointLocation", f"{work.rstrip('/')}/checkpoint")
+    return writer.trigger(**({"availableNow": True} if interval is None else {"processingTime": interval})).start()

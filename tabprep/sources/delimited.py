@@ -43,12 +43,20 @@ def _decoded(c: Column, dialect: Dialect) -> Column:
 
 
 def _surplus_fields(line: Column, dialect: Dialect, fields: int) -> Column:
-    """Whether a line that does not fit the header has too many fields, and not too few."""
+    """Whether a line that does not fit the header has too many fields, and not too few.
+
+    The reader's own tokens decide: parsed again with one more field, that field holds
+    something.  Where the line ends with a separator the last field is empty, which the
+    parser does not tell from a missing one, and separators outside quotes are counted.
+    """
+    schema = ", ".join(f"c{i} string" for i in range(fields + 1))
+    options = {k: v for k, v in reader_options(dialect).items() if k in ("sep", "quote", "escape", "mode")}
+    overflow = F.from_csv(line, schema, options)[f"c{fields}"].isNotNull()
     bare = F.regexp_replace(line, '"[^"]*+"', "")
     separators = F.char_length(bare) - F.char_length(
         F.replace(bare, F.lit(dialect.separator), F.lit(""))
     )
-    return separators >= fields
+    return overflow | (line.endswith(dialect.separator) & (separators >= fields))
 
 
 def text_schema(fields: int) -> T.StructType:
@@ -150,14 +158,18 @@ def extract(
     *,
     strict_first_match: bool = False,
     parallelism: int = 16,
+    paths: Sequence[str] | None = None,
 ) -> list[TableRecord]:
     """One record per file of a folder, each with a lazy table.
 
     Files without a data line are recorded as ``empty``, unreadable ones as
-    ``failed``.  Raises if there are no files, or if none can be read.
+    ``failed``.  Raises if there are no files, or if none can be read.  With
+    ``paths``, as an inventory lists them, only those files are looked at.
     """
     inventory = require_files(spark, folder, pattern)
-    dialects = detect_dialects(spark, folder, pattern)
+    if paths is not None:
+        inventory = inventory.where(F.col("path").isin(list(paths)))
+    dialects = detect_dialects(spark, folder if paths is None else [glob_escaped(p) for p in paths], pattern)
     if strict_first_match:
         dialects = first_match(dialects)
     listed = inventory.join(dialects.drop("name"), "path", "left").orderBy("name")
@@ -179,6 +191,7 @@ def extract(
     records += [
         TableRecord(name, None, status="empty", rows=0, error="no bytes")
         for name in FileSystem(spark).empty_files(folder, pattern)
+        if paths is None or name in {p.rsplit("/", 1)[-1] for p in paths}
     ]
     if not any(r.status == "ok" for r in records):
         raise NoReadableFiles(f"no file in {folder} could be read")

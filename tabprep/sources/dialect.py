@@ -31,7 +31,7 @@ def _occurrences(text: Column, ch: str) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(ch), F.lit("")))
 
 
-def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+def _lines(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFrame:
     raw = (
         spark.read.option("pathGlobFilter", pattern)
         .text(folder)
@@ -70,8 +70,8 @@ def _lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     )
 
 
-def detect_dialects(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """One row per non-empty file: its encoding, separator, and how well the lines agree.
+def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """One row per non-empty file of a folder, or of the paths given: its encoding, separator, and how well the lines agree.
 
     Every line is read once.  Lines are first reduced to distinct vectors of
     separator counts within each task, so a file of any size is spread over all

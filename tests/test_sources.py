@@ -128,3 +128,17 @@ def test_jdbc_options():
         jdbc_options("jdbc:x:y")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x:y", table="t", partition_column="id")
+
+
+def test_surplus_is_judged_by_the_readers_own_tokens(spark, write_files):
+    text = 'a,b\n1,2\n5" x,6" y,extra\n"q,r",s\n"q,r",s,t\n7,8,\n9\n'
+    (record,) = extract(spark, write_files({"t.csv": text.encode()}))
+    rows = sorted(tuple(r) for r in record.df.na.fill("").collect())
+    assert rows == [("1", "2"), ("9", ""), ("q,r", "s")]
+
+
+def test_only_named_files_are_taken(spark, write_files):
+    folder = write_files({"a.csv": b"x;y\n1;2\n", "b.csv": b"x,y\n3,4\n"})
+    listed = [r.path for r in file_inventory(spark, folder).where("name = 'b.csv'").collect()]
+    (record,) = extract(spark, folder, paths=listed)
+    assert record.name == "b.csv" and record.df.collect()[0].asDict() in ({"x": "3", "y": "4"}, {"X": "3", "Y": "4"})
