@@ -11,6 +11,7 @@ from ..operators.clean import TableRecord
 from ..session import scratch_path
 from ..sinks.delimited import write_delimited
 from ..sources.delimited import (
+    extraction_report,
     extract,
     extract_parts,
     extraction_metrics,
@@ -166,7 +167,25 @@ def metrics(spark, sf):
     return extraction_metrics(records)
 
 
+def report_with_dropped(spark, sf):
+    """Two lots of unlike files; every tenth line has a field too many, and some fields hold quotes or separators."""
+    folder = scratch_path(spark, "report")
+    orders = table(spark, sf, "orders")
+    for sep, which in ((";", "o_orderstatus = 'F'"), ("|", "o_orderstatus <> 'F'")):
+        last = F.when(F.expr("o_orderkey % 10 = 0"), F.lit(f"x{sep}y")).when(F.expr("o_orderkey % 10 = 1"), F.lit(f'"q{sep}r"'))
+        last = last.when(F.expr("o_orderkey % 10 = 2"), F.lit('5" z')).otherwise(F.col("o_orderpriority"))
+        # whole lines as one column, so that nothing is quoted; its name is the header
+        line = F.concat_ws(sep, "o_orderkey", "o_totalprice", last).alias(sep.join(("o_orderkey", "o_totalprice", "remark")))
+        lines = orders.where(which).repartition(3, "o_orderkey").select(line)
+        lines.write.mode("append").options(sep="\u0001", header="true", quote="\u0000").csv(folder)
+    found = extraction_report(spark, folder)
+    return found.groupBy("separator", "encoding", "column_count").agg(
+        F.sum("row_count").alias("row_count"), F.sum("dropped_lines").alias("dropped_lines"), F.count_distinct("file_name").alias("files")
+    )
+
+
 QUERIES = {
+    "src_extract_report": report_with_dropped,
     "src_file_inventory": inventory,
     "src_detect_dialect": dialects,
     "src_first_match_dialect": strict_dialects,
@@ -194,6 +213,9 @@ def _counted(extra: str) -> str:
 
 
 ORACLES = {
+    "src_extract_report": """SELECT CASE WHEN o_orderstatus = 'F' THEN ';' ELSE '|' END AS separator, 'UTF-8' AS encoding,
+        CAST(3 AS INTEGER) AS column_count, count(*) FILTER (o_orderkey % 10 <> 0) AS row_count,
+        count(*) FILTER (o_orderkey % 10 = 0) AS dropped_lines, CAST(3 AS BIGINT) AS files FROM orders GROUP BY 1""",
     "src_file_inventory": """SELECT o_orderstatus,
         CAST(sum(length(o_orderkey || ',' || o_custkey || ',' || o_orderstatus) + 1) AS BIGINT) AS total_bytes,
         TRUE AS listed FROM orders GROUP BY o_orderstatus""",

@@ -14,7 +14,7 @@ from ..functions.charmap import cp1252_tables
 from ..functions.names import col, normalize_columns
 from ..operators.clean import TableRecord
 from .dialect import CP1252, LATIN1, Dialect, detect_dialects, first_match
-from .files import FileSystem, glob_escaped, require_files
+from .files import FileSystem, file_name, glob_escaped, plain_path, require_files
 
 # Field texts that mean "missing" when a file is read.
 NA_TOKENS = (
@@ -80,21 +80,25 @@ def reader_options(dialect: Dialect, header: bool = True) -> dict[str, str]:
     }
 
 
+def fits(dialect: Dialect, fields: int) -> Column:
+    """Whether a raw row has no more fields than the header."""
+    # Always true where it is read, this mention of a field keeps plain row counts legal:
+    # Spark refuses queries that need nothing but the bad-line column.
+    has_field = F.length(F.coalesce(F.col("c0"), F.col(_BAD))) >= 0
+    surplus = _surplus_fields(F.col(_BAD), dialect, fields)
+    return F.col(_BAD).isNull() | (~surplus & has_field)
+
+
 def shaped(raw: DataFrame, names: Sequence[str], dialect: Dialect,
            na_tokens: Sequence[str] = NA_TOKENS, *extra: Column) -> DataFrame:
     """Named columns of a raw read: surplus rows dropped, missing tokens null, text decoded."""
     fields = [f"c{i}" for i in range(len(names))]
-    # Always true where it is read, this mention of a field keeps plain row counts legal:
-    # Spark refuses queries that need nothing but the bad-line column.
-    has_field = F.length(F.coalesce(F.col(fields[0]), F.col(_BAD))) >= 0
-    surplus = _surplus_fields(F.col(_BAD), dialect, len(names))
-    fits = F.col(_BAD).isNull() | (~surplus & has_field)
     tokens = list(na_tokens)
     values = [
         F.when(~F.col(f).isin(tokens), _decoded(F.col(f), dialect)).alias(n)
         for f, n in zip(fields, names)
     ]
-    return raw.where(fits).select(*values, *extra)
+    return raw.where(fits(dialect, len(names))).select(*values, *extra)
 
 
 def read_delimited(
@@ -260,6 +264,39 @@ def extraction_metrics(records: Sequence[TableRecord]) -> DataFrame:
     )
 
 
+def extraction_report(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", parallelism: int = 16
+) -> DataFrame:
+    """Per file with data lines: dialect, columns, rows read, and lines dropped for surplus fields.
+
+    One scan for each distinct layout, its files told apart by their path; a field
+    that spans lines keeps only its own layout from being split.
+    """
+    require_files(spark, folder, pattern)
+    rows = detect_dialects(spark, folder, pattern).where("lines > 1").collect()
+    headers = _headers(spark, rows, parallelism)
+    layouts: dict[tuple, list] = defaultdict(list)
+    for row in rows:
+        layouts[_layout(row), bool(row.multiline)].append(row)
+    path = plain_path(F.col("_metadata.file_path")).alias("path")
+    parts = []
+    for (layout, multiline), members in layouts.items():
+        header = headers[layout]
+        if isinstance(header, Exception):
+            continue
+        dialect = Dialect(layout[0], layout[1], multiline, layout[2])
+        reader = spark.read.options(**reader_options(dialect)).schema(text_schema(len(header)))
+        raw = reader.csv([glob_escaped(m.path) for m in members])
+        counted = raw.select(path, fits(dialect, len(header)).alias("fits")).groupBy("path").agg(
+            F.count_if("fits").alias("row_count"), F.count_if(~F.col("fits")).alias("dropped_lines")
+        )
+        about = {"separator": dialect.separator, "encoding": dialect.encoding, "column_count": len(header)}
+        parts.append(counted.withColumns({k: F.lit(v) for k, v in about.items()}))
+    if not parts:
+        raise NoReadableFiles(f"no file in {folder} holds data rows")
+    return union_parts(parts).withColumn("file_name", file_name(F.col("path")))
+
+
 def inferred(df: DataFrame) -> DataFrame:
     """Give text columns the type that all their present values share (integer, float, truth value)."""
     from ..functions.numeric import text_to_double, text_to_long
