@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import strings
 from ..functions.names import output_name_column, table_name_column
 from ..operators import clean, columns
+from ..operators.validate import between, matches, not_null, one_of, profile_columns, unique, validate
 from .inputs import (
     DIRTY_ORDERS,
     DIRTY_ROWS,
@@ -112,7 +115,44 @@ def contract_applied(spark, sf):
     return clean.CleanPlan.from_json(stored).apply(orders)
 
 
+TEXTS = (("pages", "page_id", ("html", "url")), ("conversations", "conv_id", ("text", "role")), ("benchmark", "item_id", ("text",)))
+
+
+def texts_cleaned(spark, sf):
+    """Every text column of the other text tables."""
+    parts = [
+        table(spark, sf, name).select(
+            F.lit(f"{name}.{c}").alias("origin"), F.col(key).cast("string").alias("id"), strings.clean_text(F.col(c)).alias("value")
+        )
+        for name, key, columns in TEXTS
+        for c in columns
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def orders_with_dates(spark, sf):
+    """The recipe on the orders as they are: dates pass, texts are cleaned."""
+    return clean.clean_table(table(spark, sf, "orders"))[0]
+
+
+def orders_profile(spark, sf):
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return profile_columns(table(spark, sf, "orders").select(*columns))
+
+
+def orders_rules(spark, sf):
+    checks = [
+        unique("o_orderkey"), unique("o_custkey"), not_null("o_orderdate"), between("o_totalprice", 1000, 200000),
+        one_of("o_orderstatus", ("F", "O")), matches("o_orderpriority", r"^[1-4]-"),
+    ]
+    return validate(table(spark, sf, "orders"), checks)
+
+
 QUERIES = {
+    "clean_strings_texts": texts_cleaned,
+    "clean_table_dates": orders_with_dates,
+    "profile_columns": orders_profile,
+    "validate_rules": orders_rules,
     "clean_normalize_columns": messy_names,
     "clean_drop_sparse": lambda s, d: columns.drop_sparse_columns(derive(s, d, DIRTY_ORDERS)),
     "clean_column_classes": lambda s, d: clean.column_classes(derive(s, d, DIRTY_ORDERS)),
@@ -195,6 +235,33 @@ _padded = "' ' || chr(9) || chr(10) || ' ' || text || '  ' || chr(10)"
 _plain = "regexp_replace(p_name || ' ' || p_type, '\\.[^.]*$', '')"
 
 ORACLES = {
+    "clean_strings_texts": " UNION ALL ".join(
+        f"SELECT '{t}.{c}' AS origin, CAST({key} AS VARCHAR) AS id, {sql_clean(c)} AS value FROM {t}"
+        for t, key, columns in TEXTS
+        for c in columns
+    ),
+    "clean_table_dates": f"""SELECT o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", {sql_clean('o_orderstatus')} AS "O_ORDERSTATUS",
+        o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE", {sql_clean('o_orderpriority')} AS "O_ORDERPRIORITY" FROM orders""",
+    "profile_columns": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{kind}' AS column_type, count(*) AS row_count, count(*) - count({c}) AS null_count,
+        count(DISTINCT {c}) + CAST(count(*) > count({c}) AS BIGINT) AS distinct_count,
+        {f'CAST(min({c}) AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS min_number,
+        {f'CAST(max({c}) AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS max_number,
+        {'CAST(NULL AS VARCHAR)' if number else f'min({c})'} AS min_text, {'CAST(NULL AS VARCHAR)' if number else f'max({c})'} AS max_text FROM orders"""
+        for c, kind, number in (
+            ("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
+            ("o_totalprice", "double", True), ("o_orderpriority", "string", False),
+        )
+    ),
+    "validate_rules": """SELECT rule, CAST(failed AS BIGINT) AS failed, failed = 0 AS passed FROM (
+        SELECT unnest(['o_orderkey unique', 'o_custkey unique', 'o_orderdate not null', 'o_totalprice between 1000 and 200000',
+                       'o_orderstatus one of 2', 'o_orderpriority matches ^[1-4]-']) AS rule,
+               unnest([(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1)),
+                       (SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1)),
+                       (SELECT count(*) FROM orders WHERE o_orderdate IS NULL),
+                       (SELECT count(*) FROM orders WHERE o_totalprice NOT BETWEEN 1000 AND 200000),
+                       (SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')),
+                       (SELECT count(*) FROM orders WHERE NOT regexp_matches(o_orderpriority, '^[1-4]-'))]) AS failed)""",
     "clean_normalize_columns": """SELECT c_custkey AS "A", c_name AS "A_1", c_nationkey AS "A_1_1",
         c_acctbal AS "COLUMN_3", c_mktsegment AS "SEG MENT" FROM customer""",
     "clean_drop_sparse": f"""SELECT order_id, priority, cust_txt, status, status_copy, flag, const_col, price
