@@ -141,9 +141,9 @@ def test_all_symbols_have_probability_one_together():
     raw, offsets = packed(["hello world, hello"])
     pairs += np.bincount(mixing_lm.symbols(raw, offsets).pair, minlength=len(pairs))
     r = np.random.default_rng(4)
-    odds = [r.integers(-40, 40, 1 << mixing_lm.SLOT_BITS).astype(np.int8) for _ in range(mixing_lm.CONTEXTS)]
+    odds = [r.integers(-40, 40, mixing_lm._SIZES[0]).astype(np.int8) for _ in range(mixing_lm.CONTEXTS)]
     mixer = mixing_lm.Mixer(mixing_lm.tree(pairs), odds, r.random((mixing_lm.GATES, mixing_lm.CONTEXTS)))
-    contexts = [np.full(mixing_lm.SYMBOLS, 12345 * (k + 1), np.uint32) for k in range(mixing_lm.CONTEXTS)]
+    contexts = [np.full(mixing_lm.SYMBOLS, 12345 * (k + 1), np.int32) for k in range(mixing_lm.CONTEXTS)]
     pair = ord("h") * mixing_lm.SYMBOLS + np.arange(mixing_lm.SYMBOLS)
     cost, _ = mixer._step(pair, contexts, np.arange(mixing_lm.SYMBOLS), np.repeat(mixer.weights[None], mixing_lm.SYMBOLS, axis=0))
     assert math.isclose((10.0**-cost).sum(), 1.0, rel_tol=1e-6)
@@ -153,7 +153,7 @@ def test_a_score_does_not_depend_on_its_neighbours(prose):
     texts = [*prose(5, 20, 1, 300), "", "x" * 3000]
     pairs = np.bincount(mixing_lm.symbols(*packed(texts)).pair, minlength=256 * mixing_lm.SYMBOLS)
     r = np.random.default_rng(6)
-    mixer = mixing_lm.Mixer(mixing_lm.tree(pairs), [r.integers(-40, 40, 1 << mixing_lm.SLOT_BITS).astype(np.int8) for _ in range(mixing_lm.CONTEXTS)], np.full((mixing_lm.GATES, mixing_lm.CONTEXTS), 0.3))
+    mixer = mixing_lm.Mixer(mixing_lm.tree(pairs), [r.integers(-40, 40, mixing_lm._SIZES[0]).astype(np.int8) for _ in range(mixing_lm.CONTEXTS)], np.full((mixing_lm.GATES, mixing_lm.CONTEXTS), 0.3))
     together = mixer.scores(*packed(texts))
     assert np.allclose(together, [mixer.scores(*packed([t]))[0] for t in texts])
 
