@@ -382,6 +382,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, chunk:
     joined = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep)).select("unit", "side", "set_id", "text")
     links = joined.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_verified(shingle, percent), "u long, v long")
     final = scratch.write(components(links))
+    scratch.drop(groups, wanted)
 
     named = classes.join(final, classes.set_id == final.node, "left")
     named = named.select("set_id", "rep", F.coalesce("label", "set_id").alias("label"))
