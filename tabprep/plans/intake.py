@@ -87,9 +87,8 @@ def stream_batches(spark, sf):
     per_batch = (
         spark.read.parquet(intake.landing).groupBy("batch_id").agg(F.count(F.lit(1)).alias("row_count"))
     )
-    return per_batch.join(intake.batches(), "batch_id").select(
-        "batch_id", "row_count", (F.size(F.split("new_files", ",")) == F.col("file_count")).alias("named")
-    )
+    files = intake.batches().groupBy("batch_id").agg(F.count_if(F.col("name").endswith(".csv")).alias("files"))
+    return per_batch.join(files, "batch_id").select("batch_id", "row_count", (F.col("files") > 0).alias("named"))
 
 
 def stream_rerun(spark, sf):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,8 @@ from ..functions.names import normalize_columns
 from ..operators.clean import CleanConfig, CleanPlan, clean_table
 from ..operators.tables import TableStore
 from ..sources.delimited import NA_TOKENS, reader_options, shaped, text_schema
-from ..sources.dialect import Dialect
-from ..sources.files import FileSystem, file_name, plain_path
+from ..sources.dialect import UTF8, Dialect
+from ..sources.files import FileSystem, file_name, glob_escaped, plain_path
 
 DEFAULT_INTERVAL = "10 seconds"
 
@@ -25,7 +26,7 @@ def new_files(current: DataFrame, seen: DataFrame, key="path", modified: str | N
 
 
 def batch_summary(files: DataFrame, name: str = "name") -> DataFrame:
-    """Number of new files and their names, joined in order."""
+    """Number of new files and their names, joined in order: one row to show, for listings of modest size."""
     names = F.sort_array(F.collect_set(name))
     return files.agg(
         F.count_distinct(name).alias("file_count"), F.concat_ws(",", names).alias("new_files")
@@ -59,9 +60,16 @@ class FileCursor:
         return self.store.drop(self.name)
 
 
+class HeaderMismatch(ValueError):
+    """A file's header is not the one that its stream is for."""
+
+
 class FileIntake:
     """A stream of delimited files of one layout into a landing folder of raw text columns.
 
+    A file whose header names other columns, or the same in another order, stops the
+    stream; files of several layouts are for ``stream_to_targets``.
+
     Each micro-batch overwrites its own subfolder, so a batch that is replayed
     after a failure leaves no duplicates.  Whole-table decisions are not made
     per batch: ``clean`` decides over everything landed, or applies an earlier
@@ -96,9 +104,27 @@ class FileIntake:
     def _land(self, batch: DataFrame, batch_id: int) -> None:
         target = f"{self.landing}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
+        self._require_header(batch.sparkSession.read.parquet(target))
         landed = batch.sparkSession.read.parquet(target).select("__path").distinct()
-        summary = batch_summary(landed.select(file_name(F.col("__path")).alias("name")))
-        summary.write.mode("overwrite").parquet(f"{self.log}/batch_id={batch_id}")
+        names = landed.select(file_name(F.col("__path")).alias("name")).distinct()
+        names.write.mode("overwrite").parquet(f"{self.log}/batch_id={batch_id}")
+
+    def _require_header(self, landed: DataFrame) -> None:
+        """Compare the first line of every file of a batch; only distinct lines reach the driver."""
+        if self.dialect.encoding != UTF8:
+            return  # a line read as text would not show its names
+        files = [r["__path"] for r in landed.select("__path").distinct().collect()]
+        if not files:
+            return
+        lines = self.spark.read.text([glob_escaped(f) for f in files]).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+        for r in first.groupBy("line").agg(F.min("file").alias("file")).collect():
+            fields = next(csv.reader([r.line.removeprefix("\ufeff")], delimiter=self.dialect.separator), [])
+            if list(normalize_columns(fields)) != list(self.names):
+                raise HeaderMismatch(f"{r.file}: {fields}")
 
     def start(self, interval: str | None = DEFAULT_INTERVAL) -> StreamingQuery:
         """Start the stream; with ``interval=None`` it takes what is there and stops."""
@@ -118,10 +144,10 @@ class FileIntake:
         return self.spark.read.parquet(self.landing).drop("batch_id", "__path")
 
     def batches(self) -> DataFrame:
-        """One summary row per micro-batch."""
+        """The files of each micro-batch, one row for each: ``batch_id``, ``name``."""
         if not FileSystem(self.spark).exists(self.log):
-            return self.spark.createDataFrame([], "file_count bigint, new_files string, batch_id int")
-        return self.spark.read.parquet(self.log)
+            return self.spark.createDataFrame([], "batch_id int, name string")
+        return self.spark.read.parquet(self.log).select("batch_id", "name")
 
     def clean(self, config: CleanConfig | None = None, plan: CleanPlan | None = None,
               stage_to: str | None = None) -> tuple[DataFrame, CleanPlan]:

@@ -1,6 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tabprep.operators.tables import TableStore
+from tabprep.plans.pipeline import process_new
+from tabprep.sinks.catalog import TableSink
 from tabprep.sources.dialect import Dialect
 from tabprep.streaming.intake import DEFAULT_INTERVAL, FileCursor, FileIntake, batch_summary, new_files
 
@@ -47,8 +50,7 @@ def test_stream_takes_each_file_once(spark, write_files, tmp_path_factory):
     intake.run_once()
     assert sorted((r.K, r.V) for r in intake.landed().collect() if r.V) == [
         ("1", "x"), ("2", "y"), ("5", "w"), ("6", "q")]
-    batches = {r.batch_id: (r.file_count, r.new_files) for r in intake.batches().collect()}
-    assert batches == {0: (1, "a.csv"), 1: (1, "b c.csv")}
+    assert {(r.batch_id, r.name) for r in intake.batches().collect()} == {(0, "a.csv"), (1, "b c.csv")}
     out, plan = intake.clean()
     assert out.count() == 4 and out.columns == ["K", "V"]  # row 4 holds no text
     pinned, _ = intake.clean(plan=plan)
@@ -58,5 +60,26 @@ def test_stream_takes_each_file_once(spark, write_files, tmp_path_factory):
     assert again.landed().count() == 5
 
 
+def test_another_header_stops_the_stream(spark, write_files, tmp_path_factory):
+    folder = write_files({"a.csv": b"k;v\n1;x\n", "b.csv": b"v;k\ny;2\n"})
+    intake = FileIntake(spark, folder, ["k", "v"], str(tmp_path_factory.mktemp("work")), Dialect(";"))
+    with pytest.raises(Exception, match="HeaderMismatch"):
+        intake.run_once()
+
+
+def test_new_files_are_loaded_with_their_own_headers(spark, write_files, tmp_path_factory):
+    work = tmp_path_factory.mktemp("targets")
+    rows = "\n".join(f"{i};n{i};{i * 2}" for i in range(5))
+    folder = write_files({"a.csv": f"k;name;n\n{rows}\n".encode()})
+    store = TableStore(spark, str(work / "tables"))
+    sink, cursor = TableSink(store, name_prefix="own_"), FileCursor(TableStore(spark, str(work / "cursor")), "own_cursor")
+    assert process_new(spark, folder, cursor, [sink]).loads[0].row_count == 5
+    write_files({"b.csv": b"n,name,k\n10,p,1\n11,q,2\n12,r,3\n"})
+    second = process_new(spark, folder, cursor, [sink])
+    assert [r.name for r in second.records] == ["b.csv"] and process_new(spark, folder, cursor, [sink]) is None
+    (target,) = [r.target for r in second.loads]
+    assert sorted((r.K, r.N) for r in store.table(target).collect()) == [(1, 10), (2, 11), (3, 12)]
+
+
 def test_default_interval():
     assert DEFAULT_INTERVAL == "10 seconds"
