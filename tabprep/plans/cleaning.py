@@ -136,8 +136,7 @@ def orders_with_dates(spark, sf):
 
 
 def orders_profile(spark, sf):
-    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    return profile_columns(table(spark, sf, "orders").select(*columns))
+    return profile_columns(table(spark, sf, "orders"))
 
 
 def orders_rules(spark, sf):
@@ -247,10 +246,11 @@ ORACLES = {
         count(DISTINCT {c}) + CAST(count(*) > count({c}) AS BIGINT) AS distinct_count,
         {f'CAST(min({c}) AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS min_number,
         {f'CAST(max({c}) AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS max_number,
-        {'CAST(NULL AS VARCHAR)' if number else f'min({c})'} AS min_text, {'CAST(NULL AS VARCHAR)' if number else f'max({c})'} AS max_text FROM orders"""
+        {'CAST(NULL AS VARCHAR)' if number else f'CAST(min({c}) AS VARCHAR)'} AS min_text,
+        {'CAST(NULL AS VARCHAR)' if number else f'CAST(max({c}) AS VARCHAR)'} AS max_text FROM orders"""
         for c, kind, number in (
             ("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
-            ("o_totalprice", "double", True), ("o_orderpriority", "string", False),
+            ("o_totalprice", "double", True), ("o_orderdate", "timestamp_ntz", False), ("o_orderpriority", "string", False),
         )
     ),
     "validate_rules": """SELECT rule, CAST(failed AS BIGINT) AS failed, failed = 0 AS passed FROM (
