@@ -23,7 +23,7 @@ from tabprep.llm.wu_manber import PatternSet
 
 #: Bytes of windows that one pass carries to every task.
 BLOCK_BYTES = 16 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Letters and digits of ASCII in lower case, and everything beyond ASCII.
 WORD = np.zeros(256, bool)

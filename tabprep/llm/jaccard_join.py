@@ -217,6 +217,8 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, marks = name[at : at + 100_000], owner[at : at + 100_000]
         n = len(part)
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(part), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(marks), pa.nulls(n, pa.binary())], schema=_RECORDS)
+    del name, owner, part, marks
+    scan.tidy()
 
 
 def _dealt(members: DataFrame, group: str, chunk: int) -> DataFrame:

@@ -8,12 +8,13 @@ decide the same words as code-point classes do.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def splitmix(n: int, seed: int) -> np.ndarray:
@@ -78,6 +79,15 @@ def bytes_and_offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[first:last], offsets - first
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: workers are kept from task to task, and wait beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library keeps its own house
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Row slices of at most ``limit`` text bytes (a longer text stands alone), with bytes and offsets."""
     for batch in batches:
@@ -91,6 +101,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             part = offsets[at : end + 1]
             yield batch.slice(at, end - at), raw[part[0] : part[-1]], part - part[0]
             at = end
+    tidy()
 
 
 def word_bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
