@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tabprep.plans import registry  # noqa: E402
+from tabprep.session import drop_scratch  # noqa: E402
 
 HEADLINE = (
     "clean_strings_documents",
@@ -68,6 +69,7 @@ def main() -> None:
             }
         )
     )
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -9,9 +11,15 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 
+#: Scratch of one driver process lies below a folder of its own.
+_RUN = uuid.uuid4().hex[:12]
+
+
 @lru_cache(maxsize=1)
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tabprep-")
+    folder = tempfile.mkdtemp(prefix="tabprep-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -26,7 +34,14 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root; nothing is created yet."""
-    return f"{scratch_root(spark)}/tabprep/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/tabprep/{_RUN}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch of this driver process; call it once nothing reads its results any more."""
+    from .sources.files import FileSystem
+
+    return FileSystem(spark).delete(f"{scratch_root(spark)}/tabprep/{_RUN}")
 
 
 def build_session(app: str = "tabprep", master: str | None = None, **conf) -> SparkSession:

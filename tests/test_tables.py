@@ -10,6 +10,7 @@ from tabprep.plans.pipeline import run_pipeline
 from tabprep.sinks.base import load_all, load_report, load_summary
 from tabprep.sinks.catalog import ConnectorSink, DocumentSink, RelationalSink, TableSink
 from tabprep.sinks.delimited import DelimitedSink
+from tabprep.session import scratch_path
 from tabprep.sources.files import FileSystem
 
 USERS = [(1, "Alice", 25, None), (2, "Bob", 30, "x"), (3, "Charlie", 35, None)]
@@ -227,3 +228,11 @@ def test_ids_tell_documents_apart(spark, tmp_path):
     assert store.delete_one("ids", {}) == 1 and store.delete_one("ids", {"b": "none"}) == 0
     assert store.delete_many("ids", {}) == len(keys) - 1
     store.drop("ids")
+
+
+def test_scratch_of_a_process_lies_together(spark, users):
+    first, second = scratch_path(spark, "one"), scratch_path(spark, "two")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    users.write.parquet(first)
+    assert FileSystem(spark).exists(first)
+    assert FileSystem(spark).delete(first) and not FileSystem(spark).exists(first)
