@@ -158,6 +158,8 @@ def _signed(size: int, percent: int, bucket_keys: list[int]):
                 keys, owners, ids, here, held = [], [], [], {}, 0
         if keys:
             yield pa.RecordBatch.from_pylist(list(flush(keys, owners, ids)), _BLOBS)
+        keys, owners, ids, here = [], [], [], {}
+        scan.tidy()
 
     return run
 
@@ -364,7 +366,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, chunk:
     buckets = 2 * parts
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = docs.mapInArrow(_signed(shingle, percent, even_keys(spark, buckets)), BLOBS)
-    found = scratch.write(signed.repartition(buckets, "bucket").mapInArrow(_pages, RECORDS), by="kind")
+    found = scratch.write(signed.repartition(buckets, "bucket").mapInArrow(_pages, RECORDS))
     records = found.where("kind = 0").select("doc_id", "n_shingles", "set_id", "vector")
     pages = found.where("kind = 1").select("page", "set_id").distinct()
 
