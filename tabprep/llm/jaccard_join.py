@@ -75,6 +75,13 @@ def groups_of(size: int) -> int:
     return 1 << max(LEAST_GROUPS.bit_length() - 1, min(MOST_GROUPS.bit_length() - 1, int(size // 4).bit_length()))
 
 
+def packed_counts(shingles: np.ndarray) -> bytes:
+    """The count vector of one set, in the least width that holds its largest count."""
+    counts = rtree.count_vectors([shingles], groups_of(len(shingles)))[0]
+    most = counts.max()
+    return counts.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
 #: Groups of one block: many, so that few shingles already tell slices apart.
 _SLICE_GROUPS = np.uint64(1 << 20)
 
@@ -148,7 +155,7 @@ def _signed(size: int, percent: int, bucket_keys: list[int]):
                         owners.append(np.full(len(found), len(ids), np.int64))
                     ids.append(mark)
                 if n:
-                    vector = np.minimum(rtree.count_vectors([shingles], groups_of(n))[0], 255).astype(np.uint8).tobytes()
+                    vector = packed_counts(shingles)
                 records.append({"bucket": bucket_keys[len(records) % buckets], "doc_id": doc_id, "n_shingles": n, "set_id": int(np.uint64(mark).astype(np.int64)), "vector": vector})
             yield pa.RecordBatch.from_pylist(records, _BLOBS)
             held += len(raw)
@@ -245,9 +252,10 @@ def _flat(columns: list[Column], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *columns)
 
 
-def _folded(vector: bytes, groups: int) -> np.ndarray:
-    v = np.frombuffer(vector, np.uint8).astype(np.int32)
-    return v.reshape(groups, -1).sum(axis=1)
+def _folded(vector: bytes, size: int, groups: int) -> np.ndarray:
+    """The counts of a set of ``size`` shingles by ``groups`` groups, no more than it was packed with."""
+    v = np.frombuffer(vector, f"<u{len(vector) // groups_of(size)}").astype(np.int32)
+    return v if len(v) == groups else v.reshape(groups, -1).sum(axis=1)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
@@ -285,9 +293,8 @@ def _bounded(percent: int):
     """Units of page members to links between classes that the bound on whole count vectors allows."""
 
     def connect(marks, sizes, vectors, sides) -> list[tuple[int, int]]:
-        groups = min(len(v) for v in vectors)
-        full = np.array([len(v) == groups for v in vectors])
-        points = np.array([np.frombuffer(v, np.uint8) if f else _folded(v, groups) for v, f in zip(vectors, full)], np.int32)
+        groups = groups_of(min(sizes))
+        points = np.array([_folded(v, n, groups) for v, n in zip(vectors, sizes)], np.int32)
         tree = rtree.CountTree(points, sizes, percent) if len(marks) > 8 else None
         label = np.arange(len(marks))
         found = []

@@ -115,6 +115,30 @@ def test_tree_finds_every_linked_set(sets, percent):
                 assert j in near
 
 
+@pytest.mark.parametrize("size,percent", [(3, 90), (5, 80)])
+def test_near_copies_of_very_long_texts(frame, size, percent):
+    """Groups of such sets count some hundred shingles; a pair near the limit links, one beyond it does not."""
+    base = [f"w{i}" for i in range(160_000)]
+
+    def changed(tag, every):
+        return " ".join(f"{tag}{i}" if i % every == 0 else w for i, w in enumerate(base))
+
+    linked, beyond = {90: (60, 50), 80: (48, 40)}[percent]  # a change costs ``size`` shingles of each text
+    more = [f"v{i}" for i in range(190_000)]
+    rows = [(1, " ".join(base)), (2, changed("x", 160_001)), (3, changed("y", linked)), (4, changed("z", beyond)), (5, " ".join(more)), (6, " ".join([*more[:-1], "end"]))]
+    out = jaccard_join.near_duplicates(frame(rows), shingle=size, percent=percent)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute(rows, size, percent)
+    assert {r.doc_id: r.component_id for r in out.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 5}
+
+
+def test_counts_above_a_byte_are_kept():
+    for n in (5, 3000, 200_000, 40_000_000):
+        s = np.arange(n, dtype=np.uint64) << np.uint64(20)  # all in few groups
+        groups = jaccard_join.groups_of(n)
+        assert np.array_equal(jaccard_join._folded(jaccard_join.packed_counts(s), n, groups), rtree.count_vectors([s], groups)[0])
+        assert jaccard_join._folded(jaccard_join.packed_counts(s), n, 16).sum() == n
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, j) for j in range(8, 60)] + [(5, 5), (1000, 999), (999, 1000), (-3, 7)]
     found = {r.node: r.label for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
