@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Normalised sentences of public licences and notices, by identifier.
+#: Normalised sentences of public licences and notices, as they are cut, by identifier.
 SENTENCES = {
     "MITGRANT": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "MITNOTICE": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
@@ -25,6 +25,9 @@ SENTENCES = {
     "APACHESEE": "see the license for the specific language governing permissions and limitations under the license",
     "GPLTHREE": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "GPLTWO": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "GPLFREE": "this program is free software",
+    "GPLTERMS": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "GPLTWOLATER": "either version 2 of the license or at your option any later version",
     "GPLHOPE": "this program is distributed in the hope that it will be useful but without any warranty",
     "GPLIMPLIED": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "GPLSEE": "see the gnu general public license for more details",
@@ -33,6 +36,8 @@ SENTENCES = {
     "BSDBINARY": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "BSDNAMES": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "MPLSUBJECT": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "MPLTERMS": "this source code form is subject to the terms of the mozilla public license v",
+    "MPLVERSION": "2 0",
     "NOTEGPL": "this work is licensed under the gnu general public license version 3",
     "NOTEMIT": "released under the mit license",
     "NOTEMITTOO": "licensed under the mit license",
@@ -51,11 +56,13 @@ RULES = (
     ("Apache-2.0", "APACHEUNDER (APACHECOMPLY) (APACHEASIS) (APACHESEE)"),
     ("GPL-3.0-or-later", "GPLTHREE (GPLHOPE) (GPLIMPLIED) (GPLSEE)"),
     ("GPL-2.0-or-later", "GPLTWO (GPLHOPE) (GPLIMPLIED) (GPLSEE)"),
+    ("GPL-2.0-or-later", "GPLFREE GPLTERMS GPLTWOLATER (GPLHOPE) (GPLIMPLIED) (GPLSEE)"),
     ("MIT", "MITGRANT MITNOTICE (MITASIS) (MITLIABLE)"),
     ("ISC", "ISCGRANT"),
     ("BSD-3-Clause", "BSDFORMS BSDSOURCE BSDBINARY BSDNAMES"),
     ("BSD-2-Clause", "BSDFORMS BSDSOURCE BSDBINARY"),
     ("MPL-2.0", "MPLSUBJECT"),
+    ("MPL-2.0", "MPLTERMS MPLVERSION"),
     ("GPL-3.0-only", "NOTEGPL"),
     ("MIT", "NOTEMIT"),
     ("MIT", "NOTEMITTOO"),
@@ -70,7 +77,7 @@ RULES = (
 )
 
 #: Every known sentence has one of these words; other texts are settled by one match.
-TRIGGER = r"(?i)licen[cs]e|copyright|permission|warrant|free software|redistribut|rights reserved"
+TRIGGER = r"(?i)licen[cs]e|copyright|permission|warrant|free software|redistribut|rights reserved|(?<![a-z0-9])2[^a-z0-9]+0(?![a-z0-9])"
 SPACE = r"[\x20\x09-\x0D]+"
 BLANK_LINE = r"\x0A[\x20\x09\x0D]*\x0A"
 

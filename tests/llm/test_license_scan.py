@@ -45,6 +45,65 @@ CASES = [
 ]
 
 
+#: The standard notice of every licence in RULES, as its steward gives it.
+NOTICES = {
+    "Apache-2.0": """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.""",
+    "GPL-3.0-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.""",
+    "GPL-2.0-or-later": """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.""",
+    "MIT": MIT,
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "BSD-3-Clause": BSD + "3. " + NAMES,
+    "BSD-2-Clause": BSD,
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "GPL-3.0-only": "This work is licensed under the GNU General Public License version 3.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "all-rights-reserved": "All rights reserved.",
+}
+
+
+def test_standard_notice_of_every_licence(frame):
+    assert set(NOTICES) == {name for name, _ in L.RULES}
+    rows = [(i, before + text + after) for i, text in enumerate(NOTICES.values()) for before, after in (("", ""), ("Some words.\n\n", "\n\nMore of them."))]
+    found = [(r.doc_id, r.licenses) for r in L.scanned(frame(rows).withColumnRenamed("lang", "licenses")).collect()]
+    assert sorted(found) == sorted((i, [name]) for i, name in enumerate(NOTICES) for _ in range(2))
+
+
+def test_another_version_is_another_licence(frame):
+    rows = [(1, NOTICES["MPL-2.0"].replace("2.0", "3.0")), (2, NOTICES["GPL-2.0-or-later"].replace("version 2", "version 1"))]
+    assert [r.licenses for r in L.scanned(frame(rows).withColumnRenamed("lang", "licenses")).collect()] == [[], []]
+
+
 @pytest.mark.parametrize("case", range(len(CASES)))
 def test_cases(frame, case):
     text, licenses = CASES[case]
