@@ -76,8 +76,8 @@ RULES = (
     ("all-rights-reserved", "NOTERESERVED"),
 )
 
-#: Every known sentence has one of these words; other texts are settled by one match.
-TRIGGER = r"(?i)licen[cs]e|copyright|permission|warrant|free software|redistribut|rights reserved|(?<![a-z0-9])2[^a-z0-9]+0(?![a-z0-9])"
+#: Every known sentence has one of these, however its words are parted; other texts are settled by one match.
+TRIGGER = r"(?i)licen[cs]e|copyright|permission|warrant|free[^a-z0-9]+software|redistribut|rights[^a-z0-9]+reserved|(?<![a-z0-9])2[^a-z0-9]+0(?![a-z0-9])"
 SPACE = r"[\x20\x09-\x0D]+"
 BLANK_LINE = r"\x0A[\x20\x09\x0D]*\x0A"
 

@@ -1,8 +1,10 @@
 import re
 
+import duckdb
 import pytest
 
 from tabprep.llm import license_scan as L
+from tabprep.llm import queries
 
 from .conftest import EDGE
 
@@ -118,6 +120,20 @@ def test_every_known_sentence_has_a_trigger_and_its_normal_form():
     assert {x.strip("()") for _, r in L.RULES for x in r.split()} == set(L.SENTENCES)
 
 
+@pytest.mark.parametrize("gap", [" ", "  ", "\t", "\n", "\n   ", "-", "\n * ", "\u00a0"])
+def test_words_parted_in_any_way_as_in_the_sql(frame, tmp_path, gap):
+    notices = ["(c) 2020 Acme. All rights reserved.", "Version 2 0.", "It is mine. 2 0. Yours.", "This program is free software; nothing more.", *NOTICES.values()]
+    rows = [(i, text.replace(" ", gap)) for i, text in enumerate(notices)] + [(100 + i, re.sub(r"(?i)\b(rights|free|2) ", lambda m: m[1] + gap, text)) for i, text in enumerate(notices)]
+    path = str(tmp_path / "documents.parquet")
+    frame(rows).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    expected = con.execute(queries.ORACLES["op9_license_scans"]).fetchall()
+    out = queries.op9_license_scans(frame(rows).sparkSession, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_sentences, r.sentence_ids, r.licenses) for r in out) == sorted(expected)
+    assert {r.doc_id: r.licenses for r in out}[100] == "all-rights-reserved"
+
+
 def test_edge_rows(frame):
     assert [r.licenses for r in L.scanned(frame(EDGE)).collect()] == [[]] * len(EDGE)
     assert L.scanned(frame([])).collect() == []
