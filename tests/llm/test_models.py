@@ -180,6 +180,34 @@ def test_base_scores(spark, frame, prose):
     assert all(r.score < 0 for r in out)
 
 
+def test_tables_grow_with_the_training_bytes():
+    assert [mixing_lm.slot_bits(n) for n in (0, 1, 1 << 29, (1 << 29) + 512, 26 * 10**9)] == [20, 20, 20, 21, 26]
+    s = mixing_lm.symbols(*packed(["some words of a text"]), bits=26)
+    assert max(c.max() for c in s.contexts) >= 1 << 20
+
+
+@pytest.mark.parametrize("bits", [21, 23])
+def test_wide_tables_count_every_bit_once(spark, frame, prose, monkeypatch, bits):
+    """Sums of sparse rows are those of arrays, and scores come from the slots of the whole table."""
+    texts = [*prose(9, 40, 1, 200), "", None]
+    pairs = np.bincount(mixing_lm.symbols(*packed([t or "" for t in texts])).pair, minlength=256 * mixing_lm.SYMBOLS)
+    codes = mixing_lm.tree(pairs)
+    monkeypatch.setattr(mixing_lm, "slot_bits", lambda trained: bits)
+    docs = frame(list(enumerate(texts))).repartition(3).selectExpr("doc_id", "text", "true as train")
+    mixer = mixing_lm.fitted(docs, pairs)
+    assert mixer.bits == bits and all(len(o) == (1 << bits) + 256 for o in mixer.odds)
+    s = mixing_lm.symbols(*packed([t or "" for t in texts]), bits=bits)
+    for k, odds in enumerate(mixer.odds):
+        c = np.zeros(2 * len(odds), np.int64)
+        for _, _, bit, slots in mixing_lm._levels(codes, s.pair, s.contexts, s.pair):
+            np.add.at(c, 2 * slots[k] + bit, 1)
+        expected = np.clip(np.rint(8 * np.log((c[1::2] + 0.1) / (c[0::2] + 0.1))), -127, 127)
+        assert np.array_equal(expected, odds) and (odds != 0).sum() > 1000
+    out = mixing_lm.language_model(docs).collect()
+    raw, offsets = packed([t or "" for t in texts])
+    assert np.allclose(sorted(r.score for r in out), sorted(mixer.scores(raw, offsets)))
+
+
 def test_model_without_training_rows_or_documents(frame):
     docs = frame([(1, "a b"), (2, None)]).selectExpr("doc_id", "text", "false as train")
     assert {(r.doc_id, r.n_known, r.train_tokens, r.base_score) for r in mixing_lm.language_model(docs).collect()} == {(1, 0, 0, 0.0), (2, 0, 0, 0.0)}
