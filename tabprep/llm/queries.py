@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, packing, qda_quality, quality_rules, secret_scan, token_counts
+from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, ordered_packing, packing, qda_quality, quality_rules, secret_scan, token_counts
 from tabprep.llm.staging import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -189,6 +189,12 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
+
+def op13_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, in order, cut into sequences of at most 1024 tokens."""
+    return ordered_packing.packed(table(spark, sf_dir, "documents"), capacity=1024, ending=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_language_id": op2_language_id,
@@ -200,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scans": op9_license_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_ordered_packing": op13_ordered_packing,
 }
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,

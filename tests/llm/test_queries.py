@@ -71,3 +71,11 @@ def test_token_limits(spark, duck):
     total = duck.execute("SELECT count(*) FROM documents").fetchone()[0]
     out = queries.op4_token_counts(spark, SMALL).orderBy("length").collect()
     assert sum(r.n_docs for r in out) == total == out[-1].docs_whole and out[-1].tokens_lost == 0
+
+
+def test_ordered_packing_covers_every_token(spark, duck):
+    from .test_ordered_packing import checked
+
+    rows = duck.execute("SELECT doc_id, text FROM documents").fetchall()
+    waste, total = checked(queries.op13_ordered_packing(spark, SMALL).collect(), rows)
+    assert waste < 0.02 * total
