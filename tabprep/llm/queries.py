@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, ordered_packing, packing, qda_quality, quality_rules, secret_scan, token_counts
+from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, ordered_packing, packing, qda_quality, quality_rules, secret_scan, spelling_variants, token_counts
 from tabprep.llm.staging import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -189,6 +189,45 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its near words and the form that it is a variant of."""
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS t),
+runs AS MATERIALIZED (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, run, count(*) AS c FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')), '{UPPER}', '{LOWER}') AS run FROM documents)
+  GROUP BY ALL),
+hashed AS MATERIALIZED (
+  SELECT run, c, length(run) AS l, xor(list_reduce(list_concat([4294967295],
+    list_transform(regexp_extract_all(hex(encode(id || ':' || run)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+    lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1])), 4294967295) AS h
+  FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT c, CASE WHEN h % 31 = 0 THEN substring(run, 1, h % l) || substring(run, h % l + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+rests AS MATERIALIZED (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS m FROM rests a JOIN rests b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM rests a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM rests a JOIN words b ON a.rest = b.word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(x.k, 0) AS n_near, CASE WHEN x.m >= 10 * w.n THEN x.other END AS form, CASE WHEN x.m >= 10 * w.n THEN x.m END AS form_n
+  FROM words w LEFT JOIN (SELECT word, count(*) AS k, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word) x USING (word)),
+way(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL)
+SELECT formed.word, formed.form, way.root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN way ON way.word = formed.word JOIN formed final ON final.word = way.root AND final.form IS NULL
+"""
+
 
 def op13_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, in order, cut into sequences of at most 1024 tokens."""
@@ -206,6 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scans": op9_license_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_ordered_packing": op13_ordered_packing,
 }
 ORACLES: dict[str, str] = {
@@ -213,4 +253,5 @@ ORACLES: dict[str, str] = {
     "op8_quality_rules": OP8_SQL,
     "op9_license_scans": _op9_sql(),
     "op10_benchmark_decontamination": OP10_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }
