@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, ordered_packing, packing, qda_quality, quality_rules, secret_scan, spelling_variants, token_counts
+from tabprep.llm import crf_language, decontaminate, jaccard_join, license_scan, mixing_lm, ordered_packing, packing, qda_quality, quality_rules, secret_scan, spelling_variants, token_counts, vector_codes
 from tabprep.llm.staging import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -189,6 +189,39 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector by six exact rounds, and the error of each and of its label."""
+    codes, books = vector_codes.coded(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(codes).withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _op11_sql() -> str:
+    nearest = """a{0} AS MATERIALIZED (
+  SELECT r, k, min({{'d': d, 'e': e}}) AS m FROM (
+    SELECT r, k, e, CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d FROM p JOIN b{0} USING (k))
+  GROUP BY r, k)"""
+    moved = """s{0} AS MATERIALIZED (
+  SELECT k, e, i, sum(v) AS t, count(*) AS n FROM (SELECT k, m.e AS e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS v FROM a{0} JOIN p USING (r, k)) GROUP BY k, e, i),
+b{1} AS MATERIALIZED (
+  SELECT k, e, coalesce(f.c, b{0}.c) AS c
+  FROM b{0} LEFT JOIN (SELECT k, e, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{0} GROUP BY k, e) f USING (k, e))"""
+    rounds = ",\n".join(nearest.format(i) + ",\n" + moved.format(i, i + 1) for i in range(6))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, k, v[k * (len(v) // 8) + 1:(k + 1) * (len(v) // 8)] AS x FROM kept, range(8) t(k)),
+b0 AS MATERIALIZED (SELECT k, r - 1 AS e, x AS c FROM p WHERE r <= 16),
+{rounds},
+{nearest.format(6)},
+codes AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY k) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a6 GROUP BY r),
+sha AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY k, e)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN codes USING (r), sha
+"""
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of all documents with its near words and the form that it is a variant of."""
     return spelling_variants.variants(table(spark, sf_dir, "documents"))
@@ -245,6 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scans": op9_license_scans,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_vector_codes": op11_vector_codes,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_ordered_packing": op13_ordered_packing,
 }
@@ -253,5 +287,6 @@ ORACLES: dict[str, str] = {
     "op8_quality_rules": OP8_SQL,
     "op9_license_scans": _op9_sql(),
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_vector_codes": _op11_sql(),
     "op12_spelling_variants": OP12_SQL,
 }

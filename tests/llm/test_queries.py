@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SMALL}/{name}.parquet')")
     return con
 
