@@ -88,6 +88,15 @@ class DocumentStore(TableStore):
             self.require_new_ids(name, batch, alone=replace)
         return self.replace(name, batch) if replace else self.append(name, batch)
 
+    def insert_once(self, name: str, df: DataFrame, key: str, keys=None) -> tuple[int, bool]:
+        """Insert the documents of one load once, however often it is tried: see ``append_once``."""
+        batch = df if ID in df.columns else df.withColumn(
+            ID, document_id(keys) if keys else F.expr("uuid()")
+        )
+        if (ID in df.columns or keys) and not self.begun(name, key):
+            self.require_new_ids(name, batch)
+        return self.append_once(name, batch, key)
+
     def _where(self, name: str, query: dict | None) -> Column:
         return filter_column(self.table(name).schema, query)
 

@@ -8,6 +8,7 @@ Older versions stay for whoever is reading them until ``vacuum``.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -108,6 +109,18 @@ class TableStore:
         """
         if not self.exists(name):
             return self.replace(name, df)
+        counted, seen = observed_rows(self._aligned(name, df))
+        counted.write.insertInto(quoted(name))
+        self._refresh(name)
+        return seen.get["rows"]
+
+    def _refresh(self, name: str) -> None:
+        """Forget the listing of a table's files: another session may have written some."""
+        self.spark.catalog.refreshTable(quoted(name))
+
+    def _aligned(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` with the columns of a table, which is widened and gets new columns where needed."""
+        self._refresh(name)
         current = self.table(name)
         wider = _wider_types(df, current)
         if wider:
@@ -120,15 +133,46 @@ class TableStore:
             added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in missing)
             self.spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({added})")
             current = self.table(name)
-        aligned = df.select(
+        return df.select(
             *[
                 (col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in current.schema.fields
             ]
         )
-        counted, seen = observed_rows(aligned)
-        counted.write.insertInto(quoted(name))
-        return seen.get["rows"]
+
+    def append_once(self, name: str, df: DataFrame, key: str) -> tuple[int, bool]:
+        """Append the rows of one load; returns their number and whether this call did it.
+
+        A load with the same ``key`` is never appended twice, wherever an earlier try of it
+        stopped.  Rows are written to a folder of their own, noted as complete, and their files
+        then moved into the table one by one: what is not moved yet is still in that folder.
+        The note of a finished load stays.  One writer at a time for each table.
+        """
+        files = FileSystem(self.spark)
+        place = f"{self.root}/.loads/{name}/{key}"
+        note = json.loads(files.read_text(f"{place}.json") or "{}")
+        if note.get("done"):
+            return note["rows"], False
+        if not note:
+            files.delete(place)
+            if not self.exists(name):
+                self.replace(name, df.limit(0))
+            counted, seen = observed_rows(self._aligned(name, df))
+            counted.write.parquet(place)
+            note = {"rows": seen.get["rows"], "done": False}
+            files.write_text(f"{place}.json", json.dumps(note))
+        target = self.location(name)
+        for part in files.names(place):
+            if part.startswith("part-"):
+                files.rename(f"{place}/{part}", f"{target}/load-{key[:16]}-{part}")
+        self._refresh(name)
+        files.write_text(f"{place}.json", json.dumps({**note, "done": True}))
+        files.delete(place)
+        return note["rows"], True
+
+    def begun(self, name: str, key: str) -> bool:
+        """Whether a load of ``append_once`` has all its rows written, be they in the table yet or not."""
+        return FileSystem(self.spark).exists(f"{self.root}/.loads/{name}/{key}.json")
 
     def load(self, name: str, df: DataFrame, if_exists: str = "fail") -> int:
         """Write by policy: ``fail``, ``replace`` or ``append``."""
@@ -144,6 +188,7 @@ class TableStore:
             return False
         self.spark.sql(f"DROP TABLE {quoted(name)}")
         self.vacuum(name)
+        FileSystem(self.spark).delete(f"{self.root}/.loads/{name}")
         return True
 
     def create(self, name: str, schema: str) -> bool:
@@ -155,6 +200,7 @@ class TableStore:
 
     def verify(self, name: str, rows: int, columns: int) -> tuple[int, int]:
         """Row and column counts read back from the table; raises if they differ from what was written."""
+        self._refresh(name)
         table = self.table(name)
         found = (table.count(), len(table.columns))
         if found != (rows, columns):

@@ -10,7 +10,14 @@ from ..functions.names import target_names
 from ..operators.clean import TableRecord
 from ..operators.documents import DocumentStore
 from ..operators.tables import TableStore, observed_rows
-from .base import APPENDED, CREATED, REPLACED, LoadResult
+from .base import APPENDED, CREATED, REPLACED, SKIPPED, LoadResult
+
+
+def once(sink, target: str, record: TableRecord, existed: bool, append) -> LoadResult:
+    """Append a table by its load's key; a load that was finished before is skipped."""
+    rows, fresh = append(target, record.df, record.load_key)
+    action = SKIPPED if not fresh else APPENDED if existed else CREATED
+    return LoadResult(sink.name, target, record.name, rows, len(record.df.columns), action)
 
 
 class _NamedTables:
@@ -69,6 +76,10 @@ class RelationalSink(_NamedTables):
     def load(self, record: TableRecord) -> LoadResult:
         target = self.target(record)
         existed = self.store.exists(target)
+        if self.if_exists == "append" and record.load_key:
+            return once(self, target, record, existed, self.store.append_once)
+        if existed:
+            self.store._refresh(target)
         before = self.store.table(target).count() if existed and self.if_exists == "append" else 0
         written = self.store.load(target, record.df, self.if_exists)
         columns = len(self.store.table(target).columns)
@@ -92,6 +103,8 @@ class DocumentSink(_NamedTables):
     def load(self, record: TableRecord) -> LoadResult:
         target = self.target(record)
         existed = self.store.exists(target)
+        if not self.replace and record.load_key:
+            return once(self, target, record, existed, self.store.insert_once)
         count = self.store.insert_dataframe(target, record.df, replace=self.replace)
         action = CREATED if not existed else REPLACED if self.replace else APPENDED
         return LoadResult(

@@ -41,8 +41,11 @@ class DelimitedSink:
         if len(set(names)) != len(names):
             raise ValueError("two tables share an output name")
 
+    def target(self, record: TableRecord) -> str:
+        return f"{self.root}/{record.output_name}"
+
     def load(self, record: TableRecord) -> LoadResult:
-        target = f"{self.root}/{record.output_name}"
+        target = self.target(record)
         files = FileSystem(record.df.sparkSession)
         existed = files.exists(target)
         columns = len(record.df.columns)

@@ -14,7 +14,7 @@ from ..functions.charmap import cp1252_tables
 from ..functions.names import col, normalize_columns
 from ..operators.clean import TableRecord
 from .dialect import CP1252, LATIN1, Dialect, detect_dialects, first_match
-from .files import FileSystem, file_name, glob_escaped, plain_path, require_files
+from .files import FileSystem, file_inventory, file_name, glob_escaped, plain_path, require_files
 
 # Field texts that mean "missing" when a file is read.
 NA_TOKENS = (
@@ -163,16 +163,18 @@ def extract(
     strict_first_match: bool = False,
     parallelism: int = 16,
     paths: Sequence[str] | None = None,
+    strict: bool = True,
 ) -> list[TableRecord]:
     """One record per file of a folder, each with a lazy table.
 
     Files without a data line are recorded as ``empty``, unreadable ones as
-    ``failed``.  Raises if there are no files, or if none can be read.  With
-    ``paths``, as an inventory lists them, only those files are looked at.
+    ``failed``.  Raises if there are no files, or (if ``strict``) if none can be
+    read.  With ``paths``, as an inventory lists them, only those files are looked at.
     """
-    inventory = require_files(spark, folder, pattern)
-    if paths is not None:
-        inventory = inventory.where(F.col("path").isin(list(paths)))
+    if paths is None:
+        inventory = require_files(spark, folder, pattern)
+    else:
+        inventory = file_inventory(spark, [glob_escaped(p) for p in paths], pattern)
     dialects = detect_dialects(spark, folder if paths is None else [glob_escaped(p) for p in paths], pattern)
     if strict_first_match:
         dialects = first_match(dialects)
@@ -183,21 +185,20 @@ def extract(
 
     def one(row) -> TableRecord:
         if row.lines is None or row.lines < 2:
-            return TableRecord(row.name, None, status="empty", rows=0, error="no data rows")
+            return TableRecord(row.name, None, status="empty", rows=0, error="no data rows", content=row.content)
         header = headers[_layout(row)]
         if isinstance(header, Exception):
-            return TableRecord(row.name, None, status="failed", error=str(header))
+            return TableRecord(row.name, None, status="failed", error=str(header), content=row.content)
         dialect = _dialect(row)
         df = read_delimited(spark, row.path, dialect, header)
-        return TableRecord(row.name, df, dialect=dialect, untyped=True)
+        return TableRecord(row.name, df, dialect=dialect, untyped=True, content=row.content)
 
     records = [one(row) for row in rows]
     records += [
         TableRecord(name, None, status="empty", rows=0, error="no bytes")
-        for name in FileSystem(spark).empty_files(folder, pattern)
-        if paths is None or name in {p.rsplit("/", 1)[-1] for p in paths}
+        for name in (FileSystem(spark).empty_files(folder, pattern) if paths is None else ())
     ]
-    if not any(r.status == "ok" for r in records):
+    if strict and not any(r.status == "ok" for r in records):
         raise NoReadableFiles(f"no file in {folder} could be read")
     return records
 

@@ -31,6 +31,16 @@ def _occurrences(text: Column, ch: str) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(ch), F.lit("")))
 
 
+#: Sums of these parts of the lines' hashes tell the content of a file, in whatever order its lines are read.
+PIECES = ("hash_low", "hash_mid", "hash_high")
+
+
+def _pieces(line_hash: Column) -> dict[str, Column]:
+    """Three parts of a 64-bit hash whose sums do not overflow below 2**39 lines."""
+    mid = F.shiftrightunsigned(line_hash, 20).bitwiseAND(F.lit(0xFFFFFF))
+    return dict(zip(PIECES, (line_hash.bitwiseAND(F.lit(0xFFFFF)), mid, F.shiftrightunsigned(line_hash, 44))))
+
+
 def _lines(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFrame:
     raw = (
         spark.read.option("pathGlobFilter", pattern)
@@ -77,7 +87,8 @@ def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str =
     separator counts within each task, so a file of any size is spread over all
     tasks that read it, and only counts are shuffled.  The separator is the one
     found in the header for which most lines have as many as the header; ties go
-    to the preferred one.  A file without any is read as one column.
+    to the preferred one.  A file without any is read as one column.  ``content``
+    is the same for files with the same header and lines, whatever they are named.
     """
     counts = [f"n{i}" for i in range(len(SEPARATORS))]
     lines = _lines(spark, folder, pattern).select(
@@ -91,6 +102,7 @@ def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str =
     )
     vectors = lines.groupBy("file", *counts).agg(
         F.count(F.lit(1)).alias("lines"),
+        *[F.sum(piece).alias(n) for n, piece in _pieces(F.col("line_hash")).items()],
         F.min_by("line_hash", "position").alias("line_hash"),
         F.min_by("open_quote", "position").alias("header_open"),
         F.min("position").alias("position"),
@@ -108,11 +120,12 @@ def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str =
     ).alias("c")
     per_count = (
         vectors.select(
-            "file", "lines", "line_hash", "header_open", "position", "valid", "c1", "open_quote", candidates
+            "file", "lines", "line_hash", "header_open", "position", "valid", "c1", "open_quote", *PIECES, candidates
         )
         .groupBy("file", F.col("c.rank").alias("rank"), F.col("c.n").alias("n"))
         .agg(
             F.sum("lines").alias("lines"),
+            *[F.sum(p).alias(p) for p in PIECES],
             F.min_by("line_hash", "position").alias("line_hash"),
             F.min_by("header_open", "position").alias("header_open"),
             F.min("position").alias("position"),
@@ -127,6 +140,7 @@ def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str =
         F.min_by("line_hash", "position").alias("header_hash"),
         F.min_by("header_open", "position").alias("header_open"),
         F.sum("lines").alias("lines"),
+        *[F.sum(p).alias(p) for p in PIECES],
         F.min("valid").alias("valid"),
         F.max("c1").alias("c1"),
         F.max("open_quote").alias("open_quote"),
@@ -137,6 +151,7 @@ def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str =
     best = per_separator.groupBy("file").agg(
         F.max_by(F.struct("rank", "header_count", "agreeing"), score).alias("best"),
         F.max("lines").alias("lines"),
+        *[F.max(p).alias(p) for p in PIECES],
         F.min("valid").alias("valid"),
         F.max("c1").alias("c1"),
         F.max("open_quote").alias("multiline"),
@@ -161,6 +176,7 @@ def detect_dialects(spark: SparkSession, folder: str | list[str], pattern: str =
         F.when(found, F.col("best.agreeing")).otherwise(F.col("lines")).alias("agreeing_lines"),
         "header_hash",
         "header_open",
+        F.sha2(F.concat_ws(":", "lines", "header_hash", *PIECES), 256).alias("content"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,30 @@ class FileSystem:
         names = [s.getPath().getName() for s in found]
         return sorted(n for n in names if fnmatch.fnmatchcase(n, pattern))
 
+    def write_text(self, path: str, text: str) -> None:
+        """A small file that is there in full or not at all; an older one is replaced."""
+        fs, p = self._open(path)
+        fs.mkdirs(p.getParent())
+        _, fresh = self._open(f"{p.getParent()}/.{p.getName()}-{uuid.uuid4().hex[:12]}")
+        out = fs.create(fresh)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not fs.rename(fresh, p):
+            fs.delete(p, False)
+            if not fs.rename(fresh, p):
+                raise OSError(f"cannot write {path}")
+
+    def read_text(self, path: str) -> str | None:
+        """The content of a small file; ``None`` if it is missing."""
+        fs, p = self._open(path)
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
     def rename(self, source: str, target: str) -> None:
         fs, s = self._open(source)
         _, t = self._open(target)
@@ -73,7 +98,7 @@ def glob_escaped(path: str) -> str:
 
 
 def file_inventory(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False
+    spark: SparkSession, folder: str | list[str], pattern: str = "*.csv", recursive: bool = False
 ) -> DataFrame:
     """Path, name, modification time and size of every matching file; contents are not read."""
     return (

@@ -1,10 +1,13 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tabprep.operators.tables import TableStore
-from tabprep.plans.pipeline import process_new
-from tabprep.sinks.catalog import TableSink
-from tabprep.sources.dialect import Dialect
+from tabprep.plans.pipeline import process_new, run_pipeline
+from tabprep.sinks.base import LoadLedger
+from tabprep.sinks.catalog import RelationalSink, TableSink
+from tabprep.sources.dialect import Dialect, detect_dialects
+from tabprep.sources.files import FileSystem
 from tabprep.streaming.intake import DEFAULT_INTERVAL, FileCursor, FileIntake, batch_summary, new_files
 
 
@@ -83,3 +86,89 @@ def test_new_files_are_loaded_with_their_own_headers(spark, write_files, tmp_pat
 
 def test_default_interval():
     assert DEFAULT_INTERVAL == "10 seconds"
+
+
+def test_a_refused_batch_never_lands(spark, write_files, tmp_path_factory):
+    folder = write_files({"a.csv": b"k;v\n1;x\n2;y\n"})
+    work = str(tmp_path_factory.mktemp("work"))
+    intake = FileIntake(spark, folder, ["k", "v"], work, Dialect(";"))
+    intake.run_once()
+    write_files({"b.csv": b"v;k\nz;3\n"})
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            intake.run_once()
+        assert sorted(r.K for r in intake.landed().collect()) == ["1", "2"]
+    skipping = FileIntake(spark, folder, ["k", "v"], work, Dialect(";"), on_mismatch="skip")
+    skipping.run_once()
+    write_files({"c.csv": b"k;v\n4;w\n"})
+    skipping.run_once()
+    assert sorted(r.K for r in skipping.landed().collect()) == ["1", "2", "4"]
+    assert [(r.name, r.header) for r in skipping.refused().collect()] == [("b.csv", "v,k")]
+    assert {r.name for r in skipping.batches().collect()} == {"a.csv", "c.csv"}
+
+
+def test_headers_of_other_encodings_are_checked(spark, write_files, tmp_path_factory):
+    folder = write_files({"a.csv": "schlüssel;v\n1;ä\n".encode("latin-1"), "b.csv": "v;schlüssel\n2;ä\n".encode("latin-1")})
+    intake = FileIntake(spark, folder, ["schlüssel", "v"], str(tmp_path_factory.mktemp("work")), Dialect(";", "ISO-8859-1"), on_mismatch="skip")
+    intake.run_once()
+    assert [tuple(r) for r in intake.landed().collect()] == [("1", "ä")]
+
+
+class Lost(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("lost_at", range(1, 8))
+def test_append_once_wherever_the_driver_is_lost(spark, tmp_path, monkeypatch, lost_at):
+    """Every step of the file system may be the last one; the load tried again gives each row once."""
+    store, name = TableStore(spark, str(tmp_path)), f"once_{lost_at}"
+    store.replace(name, spark.createDataFrame([(1, "a")], "k long, v string"))
+    load = spark.range(2, 8).selectExpr("id as k", "'b' as v", "id * 2 as w").repartition(3)
+    steps = 0
+    real = {n: getattr(FileSystem, n) for n in ("write_text", "rename", "delete")}
+
+    def counted(which):
+        def step(self, *args):
+            nonlocal steps
+            steps += 1
+            if steps == lost_at:
+                raise Lost
+            return real[which](self, *args)
+
+        return step
+
+    for which in real:
+        monkeypatch.setattr(FileSystem, which, counted(which))
+    try:
+        assert store.append_once(name, load, "key") == (6, True)
+    except Lost:
+        assert store.append_once(name, load, "key") in ((6, True), (6, False))
+    assert store.append_once(name, load, "key") == (6, False)
+    assert sorted(r.k for r in store.table(name).collect()) == list(range(1, 8))
+    assert store.append_once(name, load, "other")[1] and store.table(name).count() == 13
+
+
+def test_a_ledger_skips_what_is_loaded(spark, write_files, tmp_path_factory):
+    folder = write_files({"a.csv": b"k;v\n1;x y\n2;y z\n3;z x\n", "b.csv": b"k;v\n1;x y\n2;y z\n3;z x\n"})
+    root = str(tmp_path_factory.mktemp("tables"))
+    store, ledger = TableStore(spark, root), LoadLedger(spark, f"{root}/ledger")
+    sink = RelationalSink(store, "append", name_prefix="led_")
+
+    def run():
+        return sorted((r.source, r.action) for r in run_pipeline(spark, folder, [sink], ledger=ledger, batch="7").loads)
+
+    assert run() == [("a.csv", "created"), ("b.csv", "created")]
+    assert run() == [("a.csv", "skipped"), ("b.csv", "skipped")]
+    write_files({"b.csv": b"k;v\n4;x y\n5;y z\n6;z x\n7;q q\n"})
+    assert run() == [("a.csv", "skipped"), ("b.csv", "appended")]
+    assert {(r.source, r.batch, r.row_count) for r in ledger.entries().collect()} == {("a.csv", "7", 3), ("b.csv", "7", 3), ("b.csv", "7", 4)}
+    assert store.table("led_a_transformed").count() == 3 and store.table("led_b_transformed").count() == 7
+
+
+def test_content_is_told_by_lines_not_by_their_order(spark, write_files):
+    folder = write_files({
+        "a.csv": b"k;v\n1;x\n2;y\n", "same.csv": b"k;v\n2;y\n1;x\n", "edited.csv": b"k;v\n1;x\n2;z\n",
+        "longer.csv": b"k;v\n1;x\n2;y\n2;y\n", "head.csv": b"1;x\nk;v\n2;y\n",
+    })
+    content = {r.name: r.content for r in detect_dialects(spark, folder).collect()}
+    assert content["a.csv"] == content["same.csv"] and len(set(content.values())) == 4
