@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import defaultdict
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +39,14 @@ def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     return df.observe(observation, *[c.alias(k) for k, c in metrics.items()]), observation
 
 
+def gathered(seen: Observation) -> dict[str, int]:
+    """The metrics of a written frame; all nought if its plan, with no row in it, was folded away with them."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return defaultdict(int)
+
+
 def observed_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
     return observed(df, rows=F.count(F.lit(1)))
 
@@ -70,12 +80,29 @@ class TableStore:
     def _new_version(self, name: str) -> str:
         return f"{self.root}/{name}/v-{uuid.uuid4().hex[:12]}"
 
-    def vacuum(self, name: str) -> int:
-        """Delete the versions of a table that it no longer shows; returns how many."""
-        files, folder = FileSystem(self.spark), f"{self.root}/{name}"
-        current = self.location(name).rstrip("/").rsplit("/", 1)[-1] if self.exists(name) else None
-        old = [v for v in files.names(folder) if v.startswith("v-") and v != current]
-        return sum(files.delete(f"{folder}/{v}") for v in old)
+    def _write(self, df: DataFrame, path: str) -> None:
+        """Store rows in the form that the files of a table have."""
+        df.write.parquet(path)
+
+    def _shown(self, name: str) -> set[str]:
+        """The versions that a table shows."""
+        return {self.location(name).rstrip("/").rsplit("/", 1)[-1]} if self.exists(name) else set()
+
+    def versions(self, name: str) -> list[str]:
+        """All versions of a table that are still stored, the latest first."""
+        folder = f"{self.root}/{name}"
+        found = {n: t for n, t in FileSystem(self.spark).modified(folder).items() if n.startswith("v-")}
+        return sorted(found, key=lambda n: (found[n], n), reverse=True)
+
+    def vacuum(self, name: str, keep: int = 0) -> int:
+        """Delete versions that a table no longer shows, but for the ``keep`` latest of them; returns how many."""
+        shown = self._shown(name)
+        old = [v for v in self.versions(name) if v not in shown][keep:]
+        return sum(FileSystem(self.spark).delete(f"{self.root}/{name}/{v}") for v in old)
+
+    def read_version(self, name: str, version: str) -> DataFrame:
+        """The rows of a version as it was written; only whole rewrites write all rows of a table."""
+        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
 
     def _publish(self, name: str, version: str, schema) -> None:
         if self.exists(name):
@@ -96,8 +123,8 @@ class TableStore:
         """Create or replace a table with the rows of ``df``; returns the number written."""
         version = self._new_version(name)
         counted, seen = observed_rows(df)
-        counted.write.parquet(version)
-        rows = seen.get["rows"]
+        self._write(counted, version)
+        rows = gathered(seen)["rows"]
         self._publish(name, version, _nullable(df))
         return rows
 
@@ -110,9 +137,12 @@ class TableStore:
         if not self.exists(name):
             return self.replace(name, df)
         counted, seen = observed_rows(self._aligned(name, df))
-        counted.write.insertInto(quoted(name))
+        self._insert(counted, name)
         self._refresh(name)
-        return seen.get["rows"]
+        return gathered(seen)["rows"]
+
+    def _insert(self, df: DataFrame, name: str) -> None:
+        df.write.insertInto(quoted(name))
 
     def _refresh(self, name: str) -> None:
         """Forget the listing of a table's files: another session may have written some."""
@@ -158,18 +188,22 @@ class TableStore:
             if not self.exists(name):
                 self.replace(name, df.limit(0))
             counted, seen = observed_rows(self._aligned(name, df))
-            counted.write.parquet(place)
-            note = {"rows": seen.get["rows"], "done": False}
+            self._write(counted, place)
+            note = {"rows": gathered(seen)["rows"], "done": False}
             files.write_text(f"{place}.json", json.dumps(note))
-        target = self.location(name)
-        for part in files.names(place):
-            if part.startswith("part-"):
-                files.rename(f"{place}/{part}", f"{target}/load-{key[:16]}-{part}")
+        for folder, target in self._destinations(name, place):
+            for part in files.names(folder):
+                if part.startswith("part-"):
+                    files.rename(f"{folder}/{part}", f"{target}/load-{key[:16]}-{part}")
         self._refresh(name)
         files.write_text(f"{place}.json", json.dumps({**note, "done": True}))
         files.delete(place)
         return note["rows"], True
 
+    def _destinations(self, name: str, place: str) -> list[tuple[str, str]]:
+        """Folders of written rows, and where their files belong."""
+        return [(place, self.location(name))]
+
     def begun(self, name: str, key: str) -> bool:
         """Whether a load of ``append_once`` has all its rows written, be they in the table yet or not."""
         return FileSystem(self.spark).exists(f"{self.root}/.loads/{name}/{key}.json")
@@ -215,13 +249,26 @@ class TableStore:
         One pass: counts are gathered while the new version is written.  A column
         that cannot hold a new value is widened, or it raises.
         """
-        table = self.table(name)
         matches = F.coalesce(where, F.lit(False))
+        table = self._wide_enough(self.table(name), matches, assignments)
+        out, seen = self._changed(table, matches, assignments)
+        version = self._new_version(name)
+        self._write(out, version)
+        got = gathered(seen)
+        self._publish(name, version, _nullable(out))
+        return got["matched"], got["modified"]
+
+    def _wide_enough(self, table: DataFrame, matches: Column, assignments: dict[str, Column]) -> DataFrame:
+        """``table`` with the columns widened that cannot hold what they are set to."""
         changed = table.filter(matches).select(*[e.alias(n) for n, e in assignments.items()])
         wider = _wider_types(changed, table)
         if wider:
             _require_survival(table, wider)
             table = table.select(*[col(c).cast(wider[c]).alias(c) if c in wider else col(c) for c in table.columns])
+        return table
+
+    def _changed(self, table: DataFrame, matches: Column, assignments: dict[str, Column]) -> tuple[DataFrame, Observation]:
+        """All rows of ``table``, the matching ones changed; matches and changes are counted."""
         types = {f.name: f.dataType for f in table.schema.fields}
         new = {
             n: e.cast(types[n]) if n in types else e for n, e in assignments.items()
@@ -240,11 +287,7 @@ class TableStore:
             ],
             *[F.when(matches, e).alias(n) for n, e in new.items() if n not in types],
         )
-        version = self._new_version(name)
-        out.write.parquet(version)
-        got = seen.get
-        self._publish(name, version, _nullable(out))
-        return got["matched"], got["modified"]
+        return out, seen
 
     def delete(self, name: str, where: Column) -> int:
         """Delete matching rows; returns how many.
@@ -257,7 +300,7 @@ class TableStore:
         kept, seen = observed_rows(table.filter(~F.coalesce(where, F.lit(False))))
         version = self._new_version(name)
         kept.write.parquet(version)
-        deleted = before - seen.get["rows"]
+        deleted = before - gathered(seen)["rows"]
         self._publish(name, version, _nullable(table))
         return deleted
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.buckets import BucketStore
 from ..operators.clean import clean_table
 from ..operators.documents import DocumentStore, DuplicateIds
 from ..operators.tables import TableStore, run_sql, value_counts
@@ -20,8 +21,9 @@ def orders_of(spark, sf):
     return table(spark, sf, "orders").select(*ORDERS)
 
 
-def order_table(spark, sf):
-    store = TableStore(spark, scratch_path(spark, "tables"))
+def order_table(spark, sf, buckets=0):
+    place = scratch_path(spark, "tables")
+    store = BucketStore(spark, place, "o_orderkey", buckets) if buckets else TableStore(spark, place)
     name = unique("orders")
     store.replace(name, orders_of(spark, sf))
     return store, name
@@ -56,7 +58,7 @@ def insert_rows(spark, sf):
 
 
 def update_rows(spark, sf):
-    store, name = order_table(spark, sf)
+    store, name = order_table(spark, sf, buckets=8)
     matched, modified = store.update(
         name,
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
@@ -66,11 +68,35 @@ def update_rows(spark, sf):
 
 
 def delete_rows(spark, sf):
-    store, name = order_table(spark, sf)
+    store, name = order_table(spark, sf, buckets=8)
     deleted = store.delete(name, (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 50000))
     return store.table(name).withColumn("deleted", F.lit(deleted))
 
 
+def untouched_buckets(spark, sf):
+    """A change of the orders of one customer: how many buckets it wrote anew, and what the table holds."""
+    store, name = order_table(spark, sf, buckets=64)
+    before = store.places(name)
+    first = store.table(name).agg(F.min("o_custkey")).first()[0]
+    wanted = F.col("o_custkey") == first
+    expected = len(store.touched(name, wanted))
+    store.update(name, wanted, {"o_totalprice": F.col("o_totalprice") + 1})
+    store.delete(name, wanted & (F.col("o_orderstatus") == "F"))
+    after = store.places(name)
+    moved = sum(before[k] != after[k] for k in before)
+    return store.table(name).withColumns({"only_touched": F.lit(moved == expected), "few": F.lit(moved < len(before))})
+
+
+def keep_versions(spark, sf):
+    """Five rewrites of a table, of which the two before the last are kept and still read."""
+    store, name = order_table(spark, sf)
+    for k in range(4):
+        store.replace(name, orders_of(spark, sf).where(F.col("o_orderkey") % 5 > k))
+    removed = store.vacuum(name, keep=2)
+    counts = [(k, store.read_version(name, v).count()) for k, v in enumerate(store.versions(name))]
+    return spark.createDataFrame(counts, "age int, row_count bigint").withColumn("removed", F.lit(removed))
+
+
 def table_exists(spark, sf):
     store, name = order_table(spark, sf)
     rows = store.table(name).count()
@@ -120,8 +146,9 @@ def join_cleaned(spark, sf):
 # --- documents -------------------------------------------------------------------------
 
 
-def event_collection(spark, sf):
-    store = DocumentStore(spark, scratch_path(spark, "docs"))
+def event_collection(spark, sf, buckets=0):
+    place = scratch_path(spark, "docs")
+    store = BucketStore(spark, place, buckets=buckets) if buckets else DocumentStore(spark, place)
     name = unique("events")
     store.insert_dataframe(
         name, table(spark, sf, "events").select(*EVENTS), replace=True, keys=["event_id"]
@@ -184,13 +211,13 @@ UPDATE = {"$set": {"event_type": "sale", "reviewed": True}, "$unset": {"props":
 
 
 def update_many(spark, sf):
-    store, name = event_collection(spark, sf)
+    store, name = event_collection(spark, sf, buckets=8)
     modified = store.update_many(name, {"event_type": "purchase"}, UPDATE)
     return store.table(name).withColumn("modified_count", F.lit(modified))
 
 
 def update_first(spark, sf):
-    store, name = event_collection(spark, sf)
+    store, name = event_collection(spark, sf, buckets=8)
     modified = store.update_one(
         name, {"event_type": "purchase"}, {"$set": {"event_type": "sale"}}, F.col("event_id")
     )
@@ -198,13 +225,13 @@ def update_first(spark, sf):
 
 
 def delete_many(spark, sf):
-    store, name = event_collection(spark, sf)
+    store, name = event_collection(spark, sf, buckets=8)
     deleted = store.delete_many(name, {"value": {"$lt": 40}, "event_type": {"$nin": ["click"]}})
     return store.table(name).withColumn("deleted_count", F.lit(deleted))
 
 
 def delete_first(spark, sf):
-    store, name = event_collection(spark, sf)
+    store, name = event_collection(spark, sf, buckets=8)
     deleted = store.delete_one(name, {"event_type": "click"}, F.desc("event_id"))
     return store.table(name).withColumn("deleted_count", F.lit(deleted))
 
@@ -286,6 +313,8 @@ QUERIES = {
     "sql_param_select": param_select,
     "sql_positional_select": positional_select,
     "tbl_insert_rows": insert_rows,
+    "tbl_untouched_buckets": untouched_buckets,
+    "tbl_keep_versions": keep_versions,
     "tbl_update_where": update_rows,
     "tbl_delete_where": delete_rows,
     "tbl_exists": table_exists,
@@ -322,6 +351,12 @@ ORACLES = {
     "tbl_insert_rows": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority, o_orderdate,
         CAST((SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS INTEGER) AS affected FROM orders""",
+    "tbl_untouched_buckets": """SELECT o_orderkey, o_custkey, o_orderstatus,
+            CASE WHEN mine THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderpriority, o_orderdate,
+            TRUE AS only_touched, TRUE AS few
+        FROM (SELECT *, o_custkey = (SELECT min(o_custkey) FROM orders) AS mine FROM orders) WHERE NOT (mine AND o_orderstatus = 'F')""",
+    "tbl_keep_versions": """SELECT CAST(age AS INTEGER) AS age, (SELECT count(*) FROM orders WHERE o_orderkey % 5 > 3 - age) AS row_count,
+        CAST(2 AS INTEGER) AS removed FROM (VALUES (0), (1), (2)) t(age)""",
     "tbl_update_where": f"""SELECT o_orderkey, o_custkey, o_orderstatus,
         CASE WHEN {_urgent} THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
         CASE WHEN {_urgent} THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority, o_orderdate,

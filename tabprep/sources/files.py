@@ -38,6 +38,15 @@ class FileSystem:
         fs, p = self._open(folder)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def modified(self, folder: str) -> dict[str, int]:
+        """Names directly below a folder with their modification times; none if it is missing."""
+        fs, p = self._open(folder)
+        return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p)} if fs.exists(p) else {}
+
+    def make_folder(self, path: str) -> None:
+        fs, p = self._open(path)
+        fs.mkdirs(p)
+
     def size(self, path: str) -> int:
         """Bytes below a path."""
         fs, p = self._open(path)
