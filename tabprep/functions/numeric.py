@@ -44,6 +44,38 @@ def text_to_long(c: Column) -> Column:
     return F.when((c < ":") & c.rlike(INTEGER_PATTERN), c.try_cast("bigint"))
 
 
+#: Whole numbers beyond this are not all exact as floating-point numbers.
+EXACT_WHOLE = 2**53
+#: The widest type of whole numbers, with 38 digits.
+WIDE = "decimal(38,0)"
+
+
+def _long_digits(c: Column) -> Column:
+    """Whole numbers of enough characters to be beyond ``EXACT_WHOLE``; a cheap test settles most values."""
+    return (F.char_length(c) >= len(str(EXACT_WHOLE))) & (c < ":") & c.rlike(INTEGER_PATTERN)
+
+
+def long_whole(c: Column) -> Column:
+    """Whole numbers that a floating-point number may not hold."""
+    value = c.try_cast(WIDE)
+    return _long_digits(c) & (value.isNull() | (F.abs(value) > F.lit(EXACT_WHOLE)))
+
+
+def beyond_long(c: Column) -> Column:
+    """Whole numbers that are no 64-bit integer."""
+    return _long_digits(c) & c.try_cast("bigint").isNull()
+
+
+def beyond_wide(c: Column) -> Column:
+    """Whole numbers with more digits than any number type has."""
+    return _long_digits(c) & c.try_cast(WIDE).isNull()
+
+
+def text_to_wide(c: Column) -> Column:
+    """Parsed value, or null where the text is no whole number of at most 38 digits."""
+    return F.when((c < ":") & c.rlike(INTEGER_PATTERN), c.try_cast(WIDE))
+
+
 def fill_number(c: Column, dtype: str, fill: float = 0) -> Column:
     """Replace null (and NaN for floating types) by ``fill``, keeping the type."""
     value = F.lit(fill).cast(dtype)

@@ -122,8 +122,8 @@ class CleanPlan:
             return c.cast(rule.target_type)
         if rule.as_boolean:
             return c.try_cast("boolean").cast(rule.target_type)
-        parse = numeric.text_to_long if rule.target_type == "bigint" else numeric.text_to_double
-        return parse(c)
+        parsers = {"bigint": numeric.text_to_long, numeric.WIDE: numeric.text_to_wide}
+        return parsers.get(rule.target_type, numeric.text_to_double)(c)
 
     def _has_content(self) -> Column | None:
         """True for rows that hold something; ``None`` when no column can tell.
@@ -208,7 +208,11 @@ def _rule(column, dtype: T.DataType, rows: int, cfg: CleanConfig, untyped: bool)
     elif kind == NUMBER and as_boolean:
         target = "int"
     elif kind == NUMBER and is_text:
-        target = "bigint" if column.integral == rows else "double"
+        whole = column.numeric == column.integral + column.beyond_long
+        if column.integral == rows:
+            target = "bigint"
+        else:
+            target = numeric.WIDE if whole and column.long_whole else "double"
     elif kind == TEXT:
         target = "string"
     # A numeric column of an untyped file holds floats once it has gaps, and prints as such.
@@ -218,6 +222,7 @@ def _rule(column, dtype: T.DataType, rows: int, cfg: CleanConfig, untyped: bool)
         and kind == TEXT
         and column.name not in cfg.string_columns
         and 0 < column.non_null == column.numeric
+        and not (column.long_whole and column.numeric == column.integral + column.beyond_long)
     )
     return ColumnRule(
         column.name, kind, "string" if is_text else column.dtype, target, as_float, as_boolean

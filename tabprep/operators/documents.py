@@ -8,13 +8,14 @@ form back.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.docfilter import filter_column, update_columns
-from ..functions.names import col
+from ..functions.names import col, quoted
 from ..session import scratch_path
 from .tables import TableStore
 
@@ -109,6 +110,31 @@ class DocumentStore(TableStore):
         """The first matching document by the given order, or no row."""
         return self.find_many(name, query, limit=1, order_by=order_by)
 
+    def aggregate(self, name: str, stages: str | list[dict]) -> DataFrame:
+        """A chain of ``$match``, ``$group``, ``$sort`` and ``$limit`` over a collection, as one plan.
+
+        ``stages`` may be JSON text. A group's ``_id`` is a field (``"$field"``), several by name, or null
+        for all documents; its other fields are ``$sum`` (of a field, or of a number for each
+        document), ``$avg``, ``$min`` and ``$max``. Missing values count for nothing: a sum of none
+        is 0, the others are null. Anything else raises.
+        """
+        out = self.table(name)
+        for stage in json.loads(stages) if isinstance(stages, str) else stages:
+            if len(stage) != 1:
+                raise ValueError(f"a stage has one operator: {stage}")
+            ((operator, given),) = stage.items()
+            if operator == "$match":
+                out = out.filter(filter_column(out.schema, given))
+            elif operator == "$group":
+                out = _grouped(out, given)
+            elif operator == "$sort":
+                out = out.orderBy(*[F.asc_nulls_first(quoted(k)) if way == 1 else F.desc_nulls_last(quoted(k)) for k, way in _ways(given)])
+            elif operator == "$limit":
+                out = out.limit(int(given))
+            else:
+                raise ValueError(f"unknown stage: {operator}")
+        return out
+
     def _only_first(self, name: str, query: dict | None, order_by) -> Column:
         first = self.find_one(name, query, order_by).select(ID).first()
         return F.lit(False) if first is None else col(ID) == F.lit(first[0])
@@ -139,6 +165,42 @@ class DocumentStore(TableStore):
         return self.drop(name)
 
 
+def _field(name) -> Column:
+    if not isinstance(name, str) or not name.startswith("$"):
+        raise ValueError(f"not a field: {name}")
+    return col(name[1:])
+
+
+def _ways(given: dict) -> list[tuple[str, int]]:
+    if any(way not in (1, -1) for way in given.values()):
+        raise ValueError(f"an order is 1 or -1: {given}")
+    return list(given.items())
+
+
+def _grouped(df: DataFrame, given: dict) -> DataFrame:
+    fields = dict(given)
+    if ID not in fields:
+        raise ValueError("a group needs an _id")
+    by = fields.pop(ID)
+    totals = []
+    for out, how in fields.items():
+        ((operator, what),) = how.items()
+        if operator == "$sum":
+            each = F.lit(what) if isinstance(what, (int, float)) else _field(what)
+            totals.append(F.coalesce(F.sum(each), F.lit(0)).alias(out))
+        elif operator in ("$avg", "$min", "$max"):
+            totals.append(getattr(F, operator[1:])(_field(what)).alias(out))
+        else:
+            raise ValueError(f"unknown total: {operator}")
+    counted = [*totals, F.count(F.lit(1)).alias("__documents")]
+    if by is None:
+        found = df.agg(F.lit(None).cast("string").alias(ID), *counted)
+    else:
+        key = F.struct(*[_field(v).alias(k) for k, v in by.items()]) if isinstance(by, dict) else _field(by)
+        found = df.groupBy(key.alias(ID)).agg(*counted)
+    return found.where("__documents > 0").drop("__documents")
+
+
 def _order(order_by) -> list:
     keys = [] if order_by is None else list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     return [*keys, col(ID)]

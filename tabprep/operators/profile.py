@@ -62,6 +62,10 @@ class ColumnProfile:
     numeric: int
     integral: int
     boolean: int
+    #: Whole numbers that floating point may change, that are beyond 64 bits, and beyond any number type.
+    long_whole: int = 0
+    beyond_long: int = 0
+    beyond_wide: int = 0
 
 
 @dataclass(frozen=True)
@@ -91,6 +95,8 @@ def profile_table(df: DataFrame, untyped: bool = False) -> TableProfile:
         if is_text_type(field.dataType):
             partials[f"numeric_{i}"] = F.count_if(numeric.looks_numeric(c))
             partials[f"integral_{i}"] = F.count(numeric.text_to_long(c))
+            for kind in ("long_whole", "beyond_long", "beyond_wide"):
+                partials[f"{kind}_{i}"] = F.count_if(getattr(numeric, kind)(c))
             if untyped:
                 partials[f"boolean_{i}"] = F.count_if(numeric.looks_boolean(c))
     got = two_step_agg(df, partials, dict.fromkeys(partials, "sum"))
@@ -106,6 +112,7 @@ def profile_table(df: DataFrame, untyped: bool = False) -> TableProfile:
                 numeric=n if typed else got.get(f"numeric_{i}", 0),
                 integral=got.get(f"integral_{i}", 0),
                 boolean=got.get(f"boolean_{i}", 0),
+                **{k: got.get(f"{k}_{i}", 0) for k in ("long_whole", "beyond_long", "beyond_wide")},
             )
         )
     return TableProfile(got["rows"], tuple(columns))
@@ -117,5 +124,7 @@ def classify(column: ColumnProfile, rows: int, dtype: T.DataType, min_numeric: f
         share = column.numeric
         if column.boolean and column.boolean == column.non_null:
             share = column.boolean
+        if column.beyond_wide and column.numeric == column.integral + column.beyond_long:
+            return TEXT  # whole numbers, such as ids, that no number type holds
         return NUMBER if rows and share / rows > min_numeric else TEXT
     return KEEP

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections import defaultdict
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -208,6 +209,32 @@ class TableStore:
         """Whether a load of ``append_once`` has all its rows written, be they in the table yet or not."""
         return FileSystem(self.spark).exists(f"{self.root}/.loads/{name}/{key}.json")
 
+    def replace_partitions(self, name: str, df: DataFrame, by: Sequence[str]) -> int:
+        """Write ``df`` into a table partitioned by these columns, in place of the partitions that it holds rows of.
+
+        Partitions of which ``df`` has no row keep their files.  The first load creates the table.
+        Rows of a partition are brought together before they are written; a large one is split.
+        """
+        missing = [c for c in by if c not in df.columns]
+        if missing:
+            raise ValueError(f"no such columns: {missing}")
+        ordered = df.select(*[col(c) for c in df.columns if c not in by], *[col(c) for c in by])
+        if self.exists(name):
+            counted, seen = observed_rows(self._aligned(name, ordered).hint("rebalance", *by))
+            where = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+            where.parquet(self.location(name))
+            self.spark.sql(f"ALTER TABLE {quoted(name)} RECOVER PARTITIONS")
+        else:
+            version = self._new_version(name)
+            counted, seen = observed_rows(ordered.hint("rebalance", *by))
+            counted.write.partitionBy(*by).parquet(version)
+            fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in ordered.schema.fields)
+            place = version.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE {quoted(name)} ({fields}) USING parquet PARTITIONED BY ({', '.join(map(quoted, by))}) LOCATION '{place}'")
+            self.spark.sql(f"ALTER TABLE {quoted(name)} RECOVER PARTITIONS")
+        self._refresh(name)
+        return gathered(seen)["rows"]
+
     def load(self, name: str, df: DataFrame, if_exists: str = "fail") -> int:
         """Write by policy: ``fail``, ``replace`` or ``append``."""
         if if_exists not in ("fail", "replace", "append"):

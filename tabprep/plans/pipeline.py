@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.names import normalize_columns
 from ..operators.clean import CleanConfig, TableRecord, clean_report, clean_tables
 from ..session import scratch_path
 from ..sinks.base import LoadLedger, LoadResult, Sink, load_all, load_report, load_summary
@@ -62,6 +63,24 @@ def run_pipeline(
     return PipelineResult(records, clean_report(spark, records), loads, report, load_summary(report))
 
 
+def process_partition(
+    spark: SparkSession, folder: str, partition: dict[str, str], sinks: Sequence[Sink],
+    config: CleanConfig | None = None, *, pattern: str = "*.csv", parallelism: int = 4, on_error: str = "continue",
+) -> PipelineResult:
+    """Extract, clean and load the files of one partition, such as ``{"day": "2024-05-01"}``, of a partitioned folder.
+
+    Files below ``folder/day=2024-05-01`` are read, one table for each layout; cleaned rows get the
+    partition's values as columns.  A ``PartitionedSink`` then replaces this partition alone.
+    """
+    place = "/".join([folder.rstrip("/"), *(f"{k}={v}" for k, v in partition.items())])
+    good = clean_tables(extract_parts(spark, place, pattern), config, parallelism=parallelism, stage_root=scratch_path(spark, "stage"))
+    values = {normalize_columns([k])[0]: F.lit(v) for k, v in partition.items()}
+    records = [replace(r, df=r.df.withColumns(values)) if r.status == "ok" else r for r in good]
+    loads = load_all(records, sinks, on_error=on_error, parallelism=parallelism)
+    report = load_report(spark, loads)
+    return PipelineResult(records, clean_report(spark, records), loads, report, load_summary(report))
+
+
 def outcomes(spark: SparkSession, result: PipelineResult) -> DataFrame:
     """What became of each file: ``name``, ``status``, ``error``, ``content``; a file that a sink failed on is ``failed``."""
     failed = {x.source: f"{x.sink}: {x.error}" for x in result.loads if x.status == "failed"}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import cleaning, intake, loading, querying, reading
+from . import cleaning, governing, intake, loading, querying, reading
 
-MODULES = (cleaning, reading, loading, querying, intake)
+MODULES = (cleaning, reading, loading, querying, intake, governing)
 
 
 def queries() -> dict:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import fnmatch
 import re
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,9 +110,19 @@ def glob_escaped(path: str) -> str:
 
 
 def file_inventory(
-    spark: SparkSession, folder: str | list[str], pattern: str = "*.csv", recursive: bool = False
+    spark: SparkSession, folder: str | list[str], pattern: str = "*.csv", recursive: bool = False,
+    exclude: str | Sequence[str] = (),
 ) -> DataFrame:
-    """Path, name, modification time and size of every matching file; contents are not read."""
+    """Path, name, modification time and size of every matching file; contents are not read.
+
+    Files whose name matches a pattern of ``exclude`` (``*``, ``?`` and ``[...]``) are left out.
+    """
+    patterns = [exclude] if isinstance(exclude, str) else list(exclude)
+    unwanted = reduce(or_, [F.col("name").rlike(rf"\A(?:{fnmatch.translate(p)})") for p in patterns], F.lit(False))
+    return _listed(spark, folder, pattern, recursive).where(~unwanted)
+
+
+def _listed(spark: SparkSession, folder: str | list[str], pattern: str, recursive: bool) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
