@@ -14,6 +14,7 @@ import binascii
 import json
 import re
 import struct
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,16 +31,21 @@ KINDS = (*BASE_KINDS, "pem", "jwt", "key", "hexkey")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
+BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+END = re.compile(r"-----END ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{48,}")
 #: How base64 of a DER sequence with a long length, or of an OpenSSH key, begins.
 KEY_START = re.compile(r"M[CDEFGHI]|b3BlbnNzaC1rZXktdjEA")
 OPENSSH = b"openssh-key-v1\0"
+#: The same in hex: a DER sequence of a plausible length, or an OpenSSH key.
+HEX_KEY_START = re.compile(f"30(?:8[1-4]|[2-7][0-9a-f])|{OPENSSH.hex()}")
 
 _CHARACTERS = np.zeros(256, bool)
 _CHARACTERS[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = True
+_TOKEN_CHARACTERS = _CHARACTERS.copy()
+_TOKEN_CHARACTERS[[*b"+/"]] = False
 _SIGNS = np.zeros(256, bool)
 _SIGNS[[*b":="]] = True
 SHORTEST_RUN = 20
@@ -172,17 +178,52 @@ def _keys_in(run: str) -> Iterator[tuple[int, int]]:
                 at = end
 
 
+def _hex_keys_in(run: str) -> Iterator[tuple[int, int]]:
+    """Places of private keys in a run of hex digits, wherever in it they begin."""
+    run, at = run.lower(), 0
+    while (m := HEX_KEY_START.search(run, at)) is not None:
+        start = m.start()
+        at = start + 1
+        if m[0].startswith("30"):
+            head = bytes.fromhex(run[start : start + 16])
+            width = head[1] & 0x7F if head[1] & 0x80 else 0
+            size = 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+            if start + 2 * size > len(run) or private_key_size(bytes.fromhex(run[start : start + 2 * size])) != size:
+                continue
+        else:
+            size = openssh_key_size(bytes.fromhex(run[start : start + (len(run) - start) // 2 * 2]))
+            if not size:
+                continue
+        at = start + 2 * size
+        yield start, at
+
+
+def _armoured(text: str) -> Iterator[tuple[int, int, str]]:
+    """Stretches from a begin mark to the first end mark of the same label, with what is between; each mark is looked at once."""
+    ends: dict[str, list[re.Match]] = {}
+    for m in END.finditer(text) if "-----END " in text else ():
+        ends.setdefault(m[1], []).append(m)
+    at = 0
+    for m in BEGIN.finditer(text) if ends else ():
+        same = ends.get(m[1], [])
+        k = bisect_left(same, m.end(), key=re.Match.start)
+        if m.start() >= at and k < len(same):
+            at = same[k].end()
+            yield m.start(), at, text[m.end() : same[k].start()]
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), in code points, by start and then by kind."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    for m in ARMOUR.finditer(text):
-        body = "".join(x.strip() for x in m[2].splitlines() if ":" not in x)
+    for start, end, inner in _armoured(text):
+        lines = inner.replace("\\r", "").replace("\\n", "\n").splitlines()  # line breaks may be written out
+        body = "".join(x.strip() for x in lines if ":" not in x)
         data = _decoded(body) if re.fullmatch(r"[A-Za-z0-9+/]+={0,2}", body) else None
-        sealed = data is not None and "ENCRYPTED" in m[2] and len(data) >= 32 and len(data) % 8 == 0
+        sealed = data is not None and "ENCRYPTED" in inner and len(data) >= 32 and len(data) % 8 == 0
         if data is not None and (key_size(data) or sealed):
-            found.append(("pem", m.start(), m.end()))
+            found.append(("pem", start, end))
     for m in TOKEN.finditer(text):
         header = _object(m[1])
         if header is not None and isinstance(header.get("alg"), str) and _object(m[2]) is not None:
@@ -190,11 +231,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     for m in RUN.finditer(text):
         found += [("key", m.start() + a, m.start() + b) for a, b in _keys_in(m[0])]
     for m in HEX_RUN.finditer(text):
-        run = m[0]
-        data = bytes.fromhex(run[: len(run) // 2 * 2])
-        size = key_size(data)
-        if size:
-            found.append(("hexkey", m.start(), m.start() + 2 * size))
+        found += [("hexkey", m.start() + a, m.start() + b) for a, b in _hex_keys_in(m[0])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -217,10 +254,23 @@ _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int6
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
+def _dotted(raw: np.ndarray) -> np.ndarray:
+    """Dots after eight characters of a signed token, with two or more of them up to another dot."""
+    dots = np.flatnonzero(raw == 0x2E)
+    first, second = dots[:-1], dots[1:]
+    wide = (second - first > 2) & (first >= 8)
+    first, second = first[wide], second[wide]
+    near = second - first <= 1 << 12  # a longer middle part is a run of key characters by itself
+    first, second = first[near], second[near]
+    inside = np.zeros(len(raw) + 1, np.int32)
+    np.cumsum(_TOKEN_CHARACTERS[raw], out=inside[1:])
+    return first[(inside[second] - inside[first + 1] == second - first - 1) & (inside[first] - inside[first - 8] == 8)]
+
+
 def _suspects(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Documents with a run of key characters or an assignment sign; no other can hold a span."""
+    """Documents with a run of key characters, an assignment sign or three dotted parts; no other can hold a span."""
     starts, ends, _ = scan.word_bounds(_CHARACTERS[raw], offsets)
-    places = np.concatenate([starts[ends - starts >= SHORTEST_RUN], np.flatnonzero(_SIGNS[raw])])
+    places = np.concatenate([starts[ends - starts >= SHORTEST_RUN], np.flatnonzero(_SIGNS[raw]), _dotted(raw)])
     return np.unique(np.searchsorted(offsets, places, "right") - 1)
 
 

@@ -1,7 +1,9 @@
 import base64
 import json
 import os
+import random
 import re
+import time
 
 import pytest
 
@@ -81,3 +83,48 @@ def test_redaction(frame):
     out = {r.doc_id: r for r in S.secrets(docs, redact=True).collect()}
     assert out[1].text == 'x [SECRET]" y [SECRET]' and out[2].text is None and out[3].text == "nothing"
     assert S.secrets(frame([])).collect() == []
+
+
+SHORT = f'{part({"alg": "none"})}.{part({"sub": "1"})}.'
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_keys_among_other_hex_digits(key):
+    text = f"ab12{key.hex()}00ff{key.hex().upper()}9"
+    size = 2 * len(key)
+    assert [s for s in S.spans_of(text) if s[0] == "hexkey"] == [("hexkey", 4, 4 + size), ("hexkey", 8 + size, 8 + 2 * size)]
+
+
+def test_line_breaks_that_are_written_out():
+    body = base64.b64encode(WRAPPED).decode()
+    text = '{"private_key": "-----BEGIN PRIVATE KEY-----\\n' + body[:64] + "\\n" + body[64:] + '\\n-----END PRIVATE KEY-----\\n"}'
+    start = text.index("-----BEGIN")
+    assert ("pem", start, text.index('\\n"}')) in S.spans_of(text)
+
+
+def test_marks_without_an_end_take_linear_time():
+    begin = "-----BEGIN RSA PRIVATE KEY-----\n"
+    body = base64.b64encode(RSA).decode()
+    whole = f"{begin}{body}\n-----END RSA PRIVATE KEY-----"
+    text = "-----BEGIN EC PRIVATE KEY-----\n" * 30_000 + whole
+    began = time.process_time()
+    assert [s for s in S.spans_of(text) if s[0] == "pem"] == [("pem", len(text) - len(whole), len(text))]
+    assert time.process_time() - began < 5
+    assert not [s for s in S.spans_of("-----END PRIVATE KEY-----" + begin * 3 + "-----END EC PRIVATE KEY-----") if s[0] == "pem"]
+
+
+def test_short_tokens_alone_in_a_text(frame):
+    texts = [f"use {SHORT} here", SHORT, f"use {SHORT} here : x", f"{SHORT}{'x' * 9}", f"é.{SHORT}", "a.b.c", "12345678.ab."]
+    rows = {r.doc_id: [tuple(s) for s in r.secrets] for r in S.secrets(frame([*enumerate(texts)])).collect()}
+    assert rows == {i: S.spans_of(t) for i, t in enumerate(texts)}
+    assert [len(rows[i]) for i in range(7)] == [1, 1, 1, 1, 1, 0, 0]
+
+
+def test_no_span_is_lost_to_the_first_look(frame):
+    """Texts of random pieces of secrets: found the same as when every text is looked at in full."""
+    r = random.Random(12)
+    pieces = [*"aé.:= \n-_/+", SHORT, TOKEN, "AKIA", "ABCDEFGH12", "token", "password = ", "0123456789abcdef", "eyJ", base64.b64encode(EC).decode(), EC.hex(), "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(1, 7))) for _ in range(3000)]
+    out = {x.doc_id: [tuple(s) for s in x.secrets] for x in S.secrets(frame([*enumerate(texts)]), keep=["doc_id"]).collect()}
+    assert sum(map(bool, out.values())) > 500
+    assert out == {i: S.spans_of(t) for i, t in enumerate(texts)}
