@@ -243,11 +243,7 @@ def _fit(df: DataFrame, cfg: CleanConfig, untyped: bool, stage_to: str | None):
     named = df.toDF(*names)
     profile = profile_table(named, untyped)
     n = profile.rows
-    sparse = set(profile.sparse(cfg.max_missing))
-    dtypes = {f.name: f.dataType for f in named.schema.fields}
-    rules = tuple(
-        _rule(c, dtypes[c.name], n, cfg, untyped) for c in profile.columns if c.name not in sparse
-    )
+    rules = rules_for(profile, named.schema.fields, cfg, untyped)
     plan = CleanPlan(names=names, rules=rules, config=replace(cfg, extra_steps=()))
     if n == 0 or not rules:
         raise EmptyTable(f"{n} rows, {len(rules)} columns left after dropping sparse columns")
@@ -263,8 +259,21 @@ def _fit(df: DataFrame, cfg: CleanConfig, untyped: bool, stage_to: str | None):
     low = set(variety.low_variety())
     varied = [r.name for r in rules if r.name not in low]
     copies = set(variety.duplicates(varied)) if variety.rows else set()
+    plan = decided(plan, cfg, n, variety.rows, varied, copies)
+    return plan, cleaned if stage_to is not None else None
+
+
+def rules_for(profile, fields, cfg: CleanConfig, untyped: bool) -> tuple[ColumnRule, ...]:
+    """How each column that is not sparse is cleaned."""
+    sparse = set(profile.sparse(cfg.max_missing))
+    dtypes = {f.name: f.dataType for f in fields}
+    return tuple(_rule(c, dtypes[c.name], profile.rows, cfg, untyped) for c in profile.columns if c.name not in sparse)
+
+
+def decided(plan: CleanPlan, cfg: CleanConfig, n: int, rows: int, varied: Sequence[str], copies) -> CleanPlan:
+    """``plan`` with the columns to keep: the varied ones that copy none further left."""
+    names, rules = plan.names, plan.rules
     kept = tuple(c for c in varied if c not in copies)
-    rows = variety.rows
     steps = (
         Step("normalize_names", n, n, len(names), len(names)),
         Step("sparse_columns", n, n, len(names), len(rules)),
@@ -272,8 +281,7 @@ def _fit(df: DataFrame, cfg: CleanConfig, untyped: bool, stage_to: str | None):
         Step("low_variety_columns", rows, rows, len(rules), len(varied)),
         Step("duplicate_columns", rows, rows, len(varied), len(kept)),
     )
-    plan = replace(plan, kept=kept, steps=steps, config=cfg)
-    return plan, cleaned if stage_to is not None else None
+    return replace(plan, kept=kept, steps=steps, config=cfg)
 
 
 def clean_table(

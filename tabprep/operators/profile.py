@@ -88,8 +88,14 @@ def profile_table(df: DataFrame, untyped: bool = False) -> TableProfile:
 
     ``untyped`` marks tables read as text, whose truth values are not typed yet.
     """
+    partials = profile_partials(df.schema.fields, untyped)
+    return profile_of(df.schema.fields, two_step_agg(df, partials, dict.fromkeys(partials, "sum")))
+
+
+def profile_partials(fields, untyped: bool = False) -> dict[str, Column]:
+    """The sums behind a profile; those of several tables of one layout add up."""
     partials: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    for i, field in enumerate(df.schema.fields):
+    for i, field in enumerate(fields):
         c = col(field.name)
         partials[f"present_{i}"] = F.count(present(c, field.dataType))
         if is_text_type(field.dataType):
@@ -99,9 +105,13 @@ def profile_table(df: DataFrame, untyped: bool = False) -> TableProfile:
                 partials[f"{kind}_{i}"] = F.count_if(getattr(numeric, kind)(c))
             if untyped:
                 partials[f"boolean_{i}"] = F.count_if(numeric.looks_boolean(c))
-    got = two_step_agg(df, partials, dict.fromkeys(partials, "sum"))
+    return partials
+
+
+def profile_of(fields, got: dict) -> TableProfile:
+    """The profile that these sums tell."""
     columns = []
-    for i, field in enumerate(df.schema.fields):
+    for i, field in enumerate(fields):
         n = got[f"present_{i}"]
         typed = is_number_type(field.dataType)
         columns.append(

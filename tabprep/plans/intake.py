@@ -86,6 +86,16 @@ def stream_clean(spark, sf):
     return dirty_intake(spark, sf).clean()[0]
 
 
+def stream_merged(spark, sf):
+    """The landed rows by decisions merged from the batches; a second plan reads no batch again and is the same."""
+    intake = dirty_intake(spark, sf)
+    out, plan = intake.clean(additive=True)
+    again, read = intake.merged_plan()
+    if read or again != plan:
+        raise AssertionError(f"read again: {read}")
+    return out
+
+
 def stream_batches(spark, sf):
     intake = dirty_intake(spark, sf)
     per_batch = (
@@ -289,6 +299,7 @@ def renamed_files(spark, sf):
 
 
 QUERIES = {
+    "inc_stream_merged_plan": stream_merged,
     "inc_stream_append": stream_append,
     "inc_stream_replay": stream_replay,
     "inc_bad_file_does_not_block": bad_file,
@@ -310,6 +321,7 @@ _all = "SELECT DISTINCT '/in/doc_' || doc_id || '.csv' AS path FROM documents"
 _labelled = "SELECT DISTINCT '/in/doc_' || doc_id || '.csv' AS path FROM labels"
 
 ORACLES = {
+    "inc_stream_merged_plan": RECIPE_ORDERS_SQL,
     "inc_stream_append": 'SELECT o_orderkey AS "O_ORDERKEY", o_totalprice AS "O_TOTALPRICE" FROM orders',
     "inc_stream_replay": """SELECT target, o_orderkey AS "O_ORDERKEY", o_totalprice AS "O_TOTALPRICE"
         FROM orders, (VALUES ('table'), ('documents')) t(target)""",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.names import normalize_columns
+from ..operators.additive import AdditivePlan
 from ..operators.clean import CleanConfig, CleanPlan, clean_table
 from ..operators.tables import TableStore
 from ..sources.delimited import NA_TOKENS, read_header, reader_options, shaped, text_schema
@@ -191,6 +192,13 @@ class FileIntake:
 
     REFUSED = "batch_id bigint, path string, name string, header string"
 
+    def merged_plan(self, config: CleanConfig | None = None) -> tuple[CleanPlan, list[str]]:
+        """The plan over all landed rows, and the batches that were read for it: as a rule the new ones only."""
+        batches = [n for n in FileSystem(self.spark).names(self.landing) if n.startswith("batch_id=")]
+        read = lambda b: self.spark.read.parquet(f"{self.landing}/{b}").drop("__path")
+        states = AdditivePlan(self.spark, f"{self.base}/states", self.names, config)
+        return states.plan(batches, read, text_schema(len(self.names)))
+
     def refused(self) -> DataFrame:
         """Files that were left out for their header."""
         if not FileSystem(self.spark).names(self.refusals):
@@ -236,8 +244,13 @@ class FileIntake:
         return self.spark.read.parquet(self.log).select("batch_id", "name")
 
     def clean(self, config: CleanConfig | None = None, plan: CleanPlan | None = None,
-              stage_to: str | None = None) -> tuple[DataFrame, CleanPlan]:
-        """Clean the landed rows: by ``plan`` if given, else by decisions over all of them."""
+              stage_to: str | None = None, additive: bool = False) -> tuple[DataFrame, CleanPlan]:
+        """Clean the landed rows: by ``plan`` if given, else by decisions over all of them.
+
+        ``additive`` takes the decisions from what is kept of each batch; see ``merged_plan``.
+        """
+        if additive and plan is None:
+            plan, _ = self.merged_plan(config)
         if plan is not None:
             return plan.apply(self.landed()), plan
         return clean_table(self.landed(), config, untyped=True, stage_to=stage_to)
