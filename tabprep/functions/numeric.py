@@ -50,7 +50,7 @@ EXACT_WHOLE = 2**53
 WIDE = "decimal(38,0)"
 
 
-def _long_digits(c: Column) -> Column:
+def long_digits(c: Column) -> Column:
     """Whole numbers of enough characters to be beyond ``EXACT_WHOLE``; a cheap test settles most values."""
     return (F.char_length(c) >= len(str(EXACT_WHOLE))) & (c < ":") & c.rlike(INTEGER_PATTERN)
 
@@ -58,17 +58,17 @@ def _long_digits(c: Column) -> Column:
 def long_whole(c: Column) -> Column:
     """Whole numbers that a floating-point number may not hold."""
     value = c.try_cast(WIDE)
-    return _long_digits(c) & (value.isNull() | (F.abs(value) > F.lit(EXACT_WHOLE)))
+    return long_digits(c) & (value.isNull() | (F.abs(value) > F.lit(EXACT_WHOLE)))
 
 
 def beyond_long(c: Column) -> Column:
     """Whole numbers that are no 64-bit integer."""
-    return _long_digits(c) & c.try_cast("bigint").isNull()
+    return long_digits(c) & c.try_cast("bigint").isNull()
 
 
 def beyond_wide(c: Column) -> Column:
     """Whole numbers with more digits than any number type has."""
-    return _long_digits(c) & c.try_cast(WIDE).isNull()
+    return long_digits(c) & c.try_cast(WIDE).isNull()
 
 
 def text_to_wide(c: Column) -> Column:

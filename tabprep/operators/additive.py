@@ -22,7 +22,7 @@ from ..functions.names import col, normalize_columns
 from ..sources.files import FileSystem
 from .clean import CleanConfig, CleanPlan, ColumnRule, EmptyTable, _normalized, decided, rules_for
 from .columns import Variety, distinct_value, equal_values, is_comparable, proven_distinct, value_class
-from .profile import profile_of, profile_partials, two_step_agg
+from .profile import profile_of, profile_sums
 
 
 def _few_values(df: DataFrame, names: Sequence[str], most: int) -> dict[str, list[str | None]]:
@@ -55,9 +55,7 @@ def _equal_groups(df: DataFrame, groups: list[list[str]]) -> list[list[str]]:
 
 def profiled(df: DataFrame, names: Sequence[str], untyped: bool) -> dict:
     """The sums of one batch's profile."""
-    named = df.toDF(*names)
-    partials = profile_partials(named.schema.fields, untyped)
-    return two_step_agg(named, partials, dict.fromkeys(partials, "sum"))
+    return profile_sums(df.toDF(*names), untyped)
 
 
 def measured(df: DataFrame, names: Sequence[str], cfg: CleanConfig, rules: tuple[ColumnRule, ...]) -> dict:

@@ -88,8 +88,22 @@ def profile_table(df: DataFrame, untyped: bool = False) -> TableProfile:
 
     ``untyped`` marks tables read as text, whose truth values are not typed yet.
     """
-    partials = profile_partials(df.schema.fields, untyped)
-    return profile_of(df.schema.fields, two_step_agg(df, partials, dict.fromkeys(partials, "sum")))
+    return profile_of(df.schema.fields, profile_sums(df, untyped))
+
+
+LONG_KINDS = ("long_whole", "beyond_long", "beyond_wide")
+
+
+def profile_sums(df: DataFrame, untyped: bool = False) -> dict[str, int]:
+    """The sums behind a profile; columns that hold whole numbers of many digits are read once more."""
+    fields = df.schema.fields
+    partials = profile_partials(fields, untyped)
+    got = two_step_agg(df, partials, dict.fromkeys(partials, "sum"))
+    long = [i for i in range(len(fields)) if got.get(f"digits_{i}")]
+    if long:
+        kinds = {f"{k}_{i}": F.count_if(getattr(numeric, k)(col(fields[i].name))) for i in long for k in LONG_KINDS}
+        got |= two_step_agg(df.select(*[col(fields[i].name) for i in long]), kinds, dict.fromkeys(kinds, "sum"))
+    return got
 
 
 def profile_partials(fields, untyped: bool = False) -> dict[str, Column]:
@@ -101,8 +115,7 @@ def profile_partials(fields, untyped: bool = False) -> dict[str, Column]:
         if is_text_type(field.dataType):
             partials[f"numeric_{i}"] = F.count_if(numeric.looks_numeric(c))
             partials[f"integral_{i}"] = F.count(numeric.text_to_long(c))
-            for kind in ("long_whole", "beyond_long", "beyond_wide"):
-                partials[f"{kind}_{i}"] = F.count_if(getattr(numeric, kind)(c))
+            partials[f"digits_{i}"] = F.count_if(numeric.long_digits(c))
             if untyped:
                 partials[f"boolean_{i}"] = F.count_if(numeric.looks_boolean(c))
     return partials
@@ -122,7 +135,7 @@ def profile_of(fields, got: dict) -> TableProfile:
                 numeric=n if typed else got.get(f"numeric_{i}", 0),
                 integral=got.get(f"integral_{i}", 0),
                 boolean=got.get(f"boolean_{i}", 0),
-                **{k: got.get(f"{k}_{i}", 0) for k in ("long_whole", "beyond_long", "beyond_wide")},
+                **{k: got.get(f"{k}_{i}", 0) for k in LONG_KINDS},
             )
         )
     return TableProfile(got["rows"], tuple(columns))
