@@ -4,7 +4,7 @@ Bytes are coded by a binary tree that depends on the byte before; each step down
 to predict. Several predictors look at that bit in different contexts: the node hashed with the last
 four bytes, with the last five, and with the word so far. Each has counted its bits over all training
 documents. Their log odds are combined by weights that a gate picks; the weights start
-from a fit on a bounded sample and are refined online within each document, block by block, so that
+from a fit over all training documents and are refined online within each document, block by block, so that
 every bit is predicted from what came before it. A score is the log probability of all bits, with an
 end mark after each text, hence a proper probability.
 
@@ -36,11 +36,10 @@ SYMBOLS_A_SLOT = 512
 #: Bytes of a document between two refinements of its weights, and the size of a refinement.
 BLOCK = 512
 RATE = 0.001
-#: Documents and the longest of them on which the starting weights are fitted.
-SAMPLE_DOCUMENTS = 400
-SAMPLE_CHARACTERS = 20_000
 GATES = 4
 CONTEXTS = 3
+#: Weights before any fit; the fit holds to them about as much as to one bit.
+PRIOR = 0.3
 #: Added to both counts of a slot; its log odds are kept in eighths.
 BLUR = 0.1
 EIGHTHS = 8
@@ -57,6 +56,14 @@ class Tree:
     node: np.ndarray
     bit: np.ndarray
 
+    def steps(self) -> np.ndarray:
+        """Twice the node, and the bit."""
+        return 2 * self.node.astype(np.int64) + self.bit
+
+    def gates(self) -> np.ndarray:
+        """Each bit's gate: how far down its code it is, up to the last gate."""
+        return np.minimum(np.arange(len(self.node)) - np.repeat(self.start, self.length), GATES - 1)
+
 
 def tree(pairs: np.ndarray) -> Tree:
     """Huffman codes from counts of (byte before, symbol); every symbol has a code."""
@@ -110,7 +117,7 @@ def symbols(raw: np.ndarray, offsets: np.ndarray, hashed: bool = True, bits: int
     docs = len(offsets) - 1
     sym = np.insert(raw.astype(np.int32), offsets[1:], END)
     begin = offsets + np.arange(docs + 1)
-    byte = np.where(sym == END, 0, sym).astype(np.uint32)
+    byte = (sym & 0xFF).astype(np.uint32)
     first = begin[:-1]
     # an end mark reads as nought, and nothing before it is seen
     back = np.concatenate([np.zeros(1, np.uint32), byte[:-1]])
@@ -119,37 +126,46 @@ def symbols(raw: np.ndarray, offsets: np.ndarray, hashed: bool = True, bits: int
     if not hashed:
         return Symbols(pair, [], begin)
     with np.errstate(over="ignore"):
-        place = np.arange(len(sym)) - np.repeat(first, np.diff(begin))
+        heads = [at[at < begin[1:]] for at in (first + k for k in range(5))]
 
         def before(k: int) -> np.ndarray:
             seen = np.zeros(len(sym), np.uint32)
             seen[k:] = byte[:-k]
-            seen[place < k] = 0
+            for head in heads[:k]:
+                seen[head] = 0
             return seen
 
         four = back | before(2) << np.uint32(8) | before(3) << np.uint32(16) | before(4) << np.uint32(24)
         fifth = before(5)
         up, down = scan._POWERS.upto(len(sym) + 1)
         total = np.zeros(len(sym) + 1, np.uint64)
-        np.cumsum(scan._VALUES[byte] * up[:-1], out=total[1:])
-        gap = scan.SPACE[back]
+        np.cumsum(scan._VALUES.take(byte) * up[:-1], out=total[1:])
+        gap = scan.SPACE.take(back)
         gap[first] = True
-        since = np.maximum.accumulate(np.where(gap, np.arange(len(sym)), 0))
-        word = ((total[:-1] - total[since]) * down[since] >> np.uint64(32)).astype(np.uint32)
+        since = np.flatnonzero(gap)
+        runs = np.diff(since, append=len(sym))
+        word = ((total[:-1] - np.repeat(total[since], runs)) * np.repeat(down[since], runs) >> np.uint64(32)).astype(np.uint32)
         five = (four * _SALTS[0] ^ fifth * _SALTS[2]) * _SALTS[1]
         last = np.uint32(32 - bits)
         # twice a slot and a bit more must fit
         return Symbols(pair, [(c >> last).astype(np.int32 if bits < 30 else np.int64) for c in (four * _SALTS[1], five, word * _SALTS[0])], begin)
 
 
-def _levels(codes: Tree, pair: np.ndarray, contexts: list[np.ndarray], owner: np.ndarray):
+def _levels(codes: Tree, pair: np.ndarray, contexts: list[np.ndarray], owner: np.ndarray, last: int | None = None):
     """The bits of some symbols, level by level down the trees: depth, owners, bits, and slots in each predictor.
 
-    A symbol's slots lie side by side: its context, hashed, and the number of the node.
+    A symbol's slots lie side by side: its context, hashed, and the number of the node. Levels from
+    ``last`` on come together, one symbol after the other.
     """
     left, at = codes.length.take(pair), codes.start.take(pair)
     depth = 0
     while len(at):
+        if depth == last:
+            left -= depth
+            owner, contexts = np.repeat(owner, left), [np.repeat(c, left) for c in contexts]
+            at = np.repeat(at - (np.cumsum(left, dtype=np.int32) - left), left)
+            at += np.arange(len(at), dtype=np.int32)
+            left = np.full(len(at), depth + 1, np.int32)
         node = codes.node.take(at)
         yield depth, owner, codes.bit.take(at), [c + node for c in contexts]
         depth += 1
@@ -159,6 +175,21 @@ def _levels(codes: Tree, pair: np.ndarray, contexts: list[np.ndarray], owner: np
         contexts = [c.take(keep) for c in contexts]
 
 
+#: Symbols whose bits are spread out together.
+_SPREAD = 1 << 17
+
+
+def _spread(codes: Tree, step: np.ndarray, s: Symbols) -> Iterator[tuple[np.ndarray, Iterator[np.ndarray]]]:
+    """All bits of some symbols, one symbol after the other: their places in the codes, and twice the slot, and the bit, in each predictor."""
+    for a in range(0, len(s.pair), _SPREAD):
+        b = a + _SPREAD
+        length = codes.length.take(s.pair[a:b]).astype(np.int64)
+        at = np.repeat(codes.start.take(s.pair[a:b]) - (np.cumsum(length) - length), length)
+        at += np.arange(len(at))
+        own = step.take(at)
+        yield at, (np.repeat(2 * c[a:b].astype(np.int64), length) + own for c in s.contexts)
+
+
 #: Nodes of one tree; the last contexts' slots reach beyond the rest by as many.
 _NODES = 256
 _SIZES = [(1 << SLOT_BITS) + _NODES] * CONTEXTS
@@ -180,19 +211,16 @@ def _counted(codes: Tree, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
         counts = None
+        step = codes.steps()
         held: list[list] = [[] for _ in range(CONTEXTS)]
         for _, raw, offsets in scan.slices(batches, "text", 1 << 20):
             if bits <= _WHOLE_BITS:
                 counts = counts or [np.zeros(2 * ((1 << bits) + _NODES), np.int64) for _ in range(CONTEXTS)]
             s = symbols(raw, offsets, bits=bits)
-            for a in range(0, len(s.pair), 1 << 19):
-                b = a + (1 << 19)
-                levels = list(_levels(codes, s.pair[a:b], [c[a:b] for c in s.contexts], s.pair[a:b]))
-                for k in range(CONTEXTS):
-                    places = np.concatenate([2 * slots[k] + bit for _, _, bit, slots in levels])
+            for _, spread in _spread(codes, step, s):
+                for k, places in enumerate(spread):
                     if counts:
-                        seen = np.bincount(places)
-                        counts[k][: len(seen)] += seen
+                        np.add.at(counts[k], places, 1)
                         continue
                     held[k].append(np.unique(places, return_counts=True))
                     if sum(len(x) for x, _ in held[k]) >= _HELD:
@@ -262,22 +290,74 @@ def _odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Summed blocks to the log odds of their slots, in eighths."""
     for part, _, _, c in _blocks(batches):
         odds = np.clip(np.rint(EIGHTHS * np.log((c[1::2] + BLUR) / (c[0::2] + BLUR))), -127, 127).astype(np.int8)
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([odds.tobytes()], pa.binary())], names=["part", "odds"])
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([odds.tobytes()], pa.binary())], names=["part", "table"])
+
+
+#: Bins of log odds, for the fit of the starting weights: their edges, and the odds that stand for each.
+_EDGES = np.array([0.25, 0.5, 0.75, 1, 1.5, 2, 2.5, 3, 3.5, 4, 5, 6, 7, 8.5, 10.5])
+_EDGES = np.r_[-_EDGES[::-1], 0, _EDGES]
+_MIDDLES = (np.r_[-12, _EDGES] + np.r_[_EDGES, 12]) / 2
+_BIN_BITS = 5
+_GATE_AT = CONTEXTS * _BIN_BITS + 1
+
+
+def _left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Summed blocks to the bins of the log odds that each slot has without one of its noughts, and without one of its ones."""
+    for part, _, _, c in _blocks(batches):
+        zero, one = c[0::2], c[1::2]
+        odds = np.stack([np.log((one + BLUR) / (np.maximum(zero - 1, 0) + BLUR)), np.log((np.maximum(one - 1, 0) + BLUR) / (zero + BLUR))], axis=1)
+        bins = np.searchsorted(_EDGES, odds.ravel(), "right").astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([bins.tobytes()], pa.binary())], names=["part", "table"])
 
 
-def _picked(wanted: list[np.ndarray]):
-    """Summed blocks to the counts of the ``wanted`` slots of each predictor, which are sorted."""
+def _joint(codes: Tree, bins: list[np.ndarray], bits: int):
+    """Of one partition: how many bits have which gate, bins and value; each is left out of its own odds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, _, c in _blocks(batches):
-            k, block = divmod(part, _PARTS)
-            a, b = np.searchsorted(wanted[k], [block * _COUNT_BLOCK, (block + 1) * _COUNT_BLOCK])
-            if a < b:
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([c.reshape(-1, 2)[wanted[k][a:b] - block * _COUNT_BLOCK].astype("<i8").tobytes()], pa.binary())], names=["part", "counts"])
+        step, marks = codes.steps(), codes.gates() << _GATE_AT | codes.bit
+        counts = np.zeros(GATES << _GATE_AT, np.int64)
+        for _, raw, offsets in scan.slices(batches, "text", 1 << 20):
+            for at, spread in _spread(codes, step, symbols(raw, offsets, bits=bits)):
+                joint = np.zeros(len(at), np.uint16)
+                for table, places in zip(bins, spread):
+                    joint <<= _BIN_BITS
+                    joint |= table.take(places)
+                cells = joint.astype(np.int64)
+                cells <<= 1
+                cells |= marks.take(at)
+                np.add.at(counts, cells, 1)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], names=["cell", "n"])
 
     return run
 
 
+def _first_weights(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Starting weights, gate by gate: those of least cost over all counted bits, by Newton's method."""
+    weights = np.full((GATES, CONTEXTS), PRIOR)
+    odds = _MIDDLES[cells[:, None] >> 1 + _BIN_BITS * np.arange(CONTEXTS - 1, -1, -1) & (1 << _BIN_BITS) - 1]
+    for gate in range(GATES):
+        here = cells >> _GATE_AT == gate
+        x, count, sign = odds[here], n[here].astype(np.float64), 2 * (cells[here] & 1) - 1
+
+        def cost(w):
+            return count @ np.logaddexp(0, -sign * (x @ w)) + ((w - PRIOR) ** 2).sum() / 2
+
+        w = weights[gate].copy()
+        for _ in range(50):
+            wrong = np.exp(-np.logaddexp(0, sign * (x @ w)))
+            slope = (count * sign * wrong) @ x - (w - PRIOR)
+            move = np.linalg.solve((x * (count * wrong * (1 - wrong))[:, None]).T @ x + np.eye(CONTEXTS), slope)
+            now = cost(w)
+            while np.abs(move).max() > 1e-9 and cost(w + move) > now:
+                move = move / 2
+            if np.abs(move).max() <= 1e-9:
+                break
+            w = w + move
+        weights[gate] = w
+    return weights
+
+
 @dataclass
 class Mixer:
     codes: Tree
@@ -313,7 +393,7 @@ class Mixer:
         out[ranked] = total
         return out
 
-    def _step(self, pair, contexts, own, weights, odds=None, learn=None):
+    def _step(self, pair, contexts, own, weights, learn=None):
         """Cost of each document's symbols, and the slope of the weights of the first ``learn`` documents (all, if not given).
 
         ``weights`` are document by gate by predictor.
@@ -322,12 +402,11 @@ class Mixer:
         learn = docs if learn is None else learn
         total, slope = np.zeros(docs), np.zeros((learn, GATES, CONTEXTS))
         scaled = weights.astype(np.float32) * np.float32(FINE / EIGHTHS)
-        for depth, owner, bit, slots in _levels(self.codes, pair, contexts, own.astype(np.int32)):
-            gate = min(depth, GATES - 1)
+        for gate, owner, bit, slots in _levels(self.codes, pair, contexts, own.astype(np.int32), last=GATES - 1):
             edges = np.searchsorted(owner, np.arange(docs + 1, dtype=np.int32))
             runs = np.diff(edges)
             here = np.flatnonzero(runs)
-            inputs = [o.take(slot).astype(np.float32) for o, slot in zip(self.odds, slots)] if odds is None else [x * EIGHTHS for x in odds(slots, bit)]
+            inputs = [o.take(slot).astype(np.float32) for o, slot in zip(self.odds, slots)]
             z = np.repeat(scaled[:, gate, 0], runs) * inputs[0]
             for k in range(1, CONTEXTS):
                 z += np.repeat(scaled[:, gate, k], runs) * inputs[k]
@@ -349,40 +428,6 @@ class Mixer:
         return total, slope
 
 
-def _first_weights(mixer: Mixer, summed: DataFrame, texts: list[str]) -> np.ndarray:
-    """Starting weights, refined document after document; each bit's own count is left out of its odds."""
-    read = [symbols(*scan.bytes_and_offsets(pa.array([text], pa.large_string())), bits=mixer.bits) for text in texts]
-    seen: list[list[np.ndarray]] = [[np.zeros(0, np.int32)] for _ in range(CONTEXTS)]
-    for s in read:
-        for _, _, _, slots in _levels(mixer.codes, s.pair, s.contexts, s.pair):
-            for k, slot in enumerate(slots):
-                seen[k].append(slot)
-    wanted = [np.unique(np.concatenate(x)) for x in seen]
-    del seen
-    counts = [np.zeros((len(w), 2), np.int64) for w in wanted]
-    for r in summed.mapInArrow(_picked(wanted), "part int, counts binary").collect() if texts else []:
-        k, block = divmod(r["part"], _PARTS)
-        found = np.frombuffer(r["counts"], "<i8").reshape(-1, 2)
-        at = int(np.searchsorted(wanted[k], block * _COUNT_BLOCK))
-        counts[k][at : at + len(found)] = found
-
-    def odds(slots, bit):
-        out = []
-        for w, c, slot in zip(wanted, counts, slots):
-            zero, one = c[np.searchsorted(w, slot)].T
-            out.append(np.log((np.maximum(one - (bit == 1), 0) + BLUR) / (np.maximum(zero - (bit == 0), 0) + BLUR)))
-        return out
-
-    weights = mixer.weights[None].astype(np.float64)
-    for s in read:
-        for a in range(0, len(s.pair), BLOCK):
-            b = a + BLOCK
-            pair = s.pair[a:b]
-            _, slope = mixer._step(pair, [c[a:b] for c in s.contexts], np.zeros(len(pair), np.int64), weights, odds)
-            weights = weights + RATE * slope
-    return weights[0]
-
-
 def fitted(docs: DataFrame, pairs: np.ndarray) -> Mixer:
     """The mixer from all rows of ``docs`` (``text``) and their counts of byte pairs."""
     codes, bits = tree(pairs), slot_bits(int(pairs.sum()))
@@ -393,19 +438,27 @@ def fitted(docs: DataFrame, pairs: np.ndarray) -> Mixer:
         number = F.floor(F.col("source") / fan)
         parts = parts.repartition("part", number).sortWithinPartitions("part", "source").mapInArrow(_summed(fan, bits), COUNTS)
     summed = scratch.write(parts)
-    odds = [np.zeros((1 << bits) + _NODES, np.int8) for _ in range(CONTEXTS)]
-    for r in summed.mapInArrow(_odds, "part int, odds binary").collect():  # a byte for each slot
-        k, part = divmod(r["part"], _PARTS)
-        block = np.frombuffer(r["odds"], np.int8)
-        odds[k][part * _COUNT_BLOCK : part * _COUNT_BLOCK + len(block)] = block
-    mixer = Mixer(codes, odds, np.full((GATES, CONTEXTS), 0.3))
-    sample = rows.where(F.length("text").between(1, SAMPLE_CHARACTERS)).select("text", F.xxhash64(F.lit(23), "text").alias("h"))
-    texts = sample.orderBy("h", "text").limit(SAMPLE_DOCUMENTS).collect()
-    mixer.weights = _first_weights(mixer, summed, [r["text"] for r in texts])
+    left_out = _tables(summed, _left_out, bits, 2, np.uint8)
+    joint = rows.mapInArrow(_joint(codes, left_out, bits), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    joint = joint.toArrow().sort_by("cell")  # no more rows than gates, bins and values make together
+    del left_out
+    weights = _first_weights(*(joint.column(c).to_numpy() for c in ("cell", "n")))
+    mixer = Mixer(codes, _tables(summed, _odds, bits, 1, np.int8), weights)
     scratch.drop(summed)
     return mixer
 
 
+def _tables(summed: DataFrame, read, bits: int, each: int, kind: type) -> list[np.ndarray]:
+    """A table for each predictor, ``each`` bytes a slot, put together from summed blocks."""
+    tables = [np.zeros(each * ((1 << bits) + _NODES), kind) for _ in range(CONTEXTS)]
+    for r in summed.mapInArrow(read, "part int, table binary").collect():
+        k, part = divmod(r["part"], _PARTS)
+        found = np.frombuffer(r["table"], kind)
+        at = part * each * _COUNT_BLOCK
+        tables[k][at : at + len(found)] = found
+    return tables
+
+
 def _scored(mixer: Mixer, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offsets in scan.slices(batches, "text", 1 << 21):

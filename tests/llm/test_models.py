@@ -208,6 +208,33 @@ def test_wide_tables_count_every_bit_once(spark, frame, prose, monkeypatch, bits
     assert np.allclose(sorted(r.score for r in out), sorted(mixer.scores(raw, offsets)))
 
 
+def test_starting_weights_come_from_every_training_row(frame, prose):
+    """Many texts and one of 30,000 characters: all their bits are in the fit, each left out of its own odds."""
+    texts = [*prose(12, 450, 1, 30), "ab cd " * 5000, "", None]
+    raw, offsets = packed([t or "" for t in texts])
+    s = mixing_lm.symbols(raw, offsets)
+    pairs = np.bincount(s.pair, minlength=256 * mixing_lm.SYMBOLS)
+    docs = frame(list(enumerate(texts))).repartition(3).selectExpr("doc_id", "text")
+    levels = list(mixing_lm._levels(mixing_lm.tree(pairs), s.pair, s.contexts, s.pair))
+    gate = np.concatenate([np.full(len(bit), min(depth, mixing_lm.GATES - 1)) for depth, _, bit, _ in levels])
+    bit = np.concatenate([bit for _, _, bit, _ in levels]).astype(np.int64)
+    cells = gate
+    for k in range(mixing_lm.CONTEXTS):
+        slot = np.concatenate([slots[k] for _, _, _, slots in levels])
+        zero, one = (np.bincount(slot[bit == b], minlength=slot.max() + 1)[slot] - (bit == b) for b in (0, 1))
+        cells = cells << 5 | np.searchsorted(mixing_lm._EDGES, np.log((one + 0.1) / (zero + 0.1)), "right")
+    cells, n = np.unique(cells << 1 | bit, return_counts=True)
+    weights = mixing_lm.fitted(docs, pairs).weights
+    assert np.allclose(weights, mixing_lm._first_weights(cells, n), atol=1e-6)
+
+    def cost(w):
+        odds = mixing_lm._MIDDLES[cells[:, None] >> np.array([11, 6, 1]) & 31]
+        return n @ np.logaddexp(0, (1 - 2 * (cells & 1)) * (odds * w[cells >> 16]).sum(axis=1)) + ((w - mixing_lm.PRIOR) ** 2).sum() / 2
+
+    for change in np.eye(weights.size).reshape(-1, *weights.shape) * 0.01:
+        assert cost(weights) < min(cost(weights + change), cost(weights - change))
+
+
 def test_model_without_training_rows_or_documents(frame):
     docs = frame([(1, "a b"), (2, None)]).selectExpr("doc_id", "text", "false as train")
     assert {(r.doc_id, r.n_known, r.train_tokens, r.base_score) for r in mixing_lm.language_model(docs).collect()} == {(1, 0, 0, 0.0), (2, 0, 0, 0.0)}
