@@ -13,7 +13,7 @@ NUMBER_PATTERN = (
 )
 INTEGER_PATTERN = r"\A\s*[+-]?[0-9]+\s*\z"
 # Spellings of truth values in untyped text.
-BOOLEAN_PATTERN = r"\A(?:True|TRUE|true|False|FALSE|false)\z"
+BOOLEANS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
 def _may_be_number(c: Column) -> Column:
@@ -31,7 +31,7 @@ def looks_numeric(c: Column) -> Column:
 
 
 def looks_boolean(c: Column) -> Column:
-    return c.rlike(BOOLEAN_PATTERN)
+    return c.isin(*BOOLEANS)
 
 
 def text_to_double(c: Column) -> Column:

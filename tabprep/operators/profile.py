@@ -97,8 +97,7 @@ LONG_KINDS = ("long_whole", "beyond_long", "beyond_wide")
 def profile_sums(df: DataFrame, untyped: bool = False) -> dict[str, int]:
     """The sums behind a profile; columns that hold whole numbers of many digits are read once more."""
     fields = df.schema.fields
-    partials = profile_partials(fields, untyped)
-    got = two_step_agg(df, partials, dict.fromkeys(partials, "sum"))
+    got = _column_sums(df, untyped)
     long = [i for i in range(len(fields)) if got.get(f"digits_{i}")]
     if long:
         kinds = {f"{k}_{i}": F.count_if(getattr(numeric, k)(col(fields[i].name))) for i in long for k in LONG_KINDS}
@@ -106,6 +105,38 @@ def profile_sums(df: DataFrame, untyped: bool = False) -> dict[str, int]:
     return got
 
 
+def _column_sums(df: DataFrame, untyped: bool) -> dict[str, int]:
+    """``profile_partials`` over all rows, text columns one below the other.
+
+    The sums of one column make a method that the JVM compiles; side by side, those of some
+    columns make one beyond the size it takes, which is then interpreted.
+    """
+    fields = df.schema.fields
+    text = [i for i, f in enumerate(fields) if f.dataType == T.StringType()]
+    if len(text) < 2:
+        partials = profile_partials(fields, untyped)
+        return two_step_agg(df, partials, dict.fromkeys(partials, "sum"))
+    rest = [i for i in range(len(fields)) if i not in set(text)]
+    below = F.posexplode(F.array(*[col(fields[i].name) for i in text])).alias("__column", "__text")
+    rows = df.select(*[col(fields[i].name).alias(f"__{i}") for i in rest], below)
+    partials = profile_partials([T.StructField(f"__{i}", fields[i].dataType) for i in rest], untyped)
+    each = profile_partials([T.StructField("__text", T.StringType())], untyped)
+    names = {f"{k}_{n}": f"{k}_{i}" for n, i in enumerate(rest) for k in ("present", *TEXT_SUMS)}
+    own = {k.removesuffix("_0"): e for k, e in each.items() if k != "rows"}
+    sums = {**partials, **{f"__{k}": e for k, e in own.items()}}
+    partial = rows.groupBy((F.spark_partition_id() % F.lit(MERGE_FAN_IN)).alias("__bucket"), "__column").agg(
+        *[e.alias(k) for k, e in sums.items()]
+    )
+    got = {"rows": 0} | {f"{k}_{i}": 0 for i in text for k in own} | {names.get(k, k): 0 for k in partials}
+    for row in partial.groupBy("__column").agg(*[F.sum(k).alias(k) for k in sums]).collect():  # one for each text column
+        got |= {f"{k}_{text[row['__column']]}": row[f"__{k}"] for k in own}
+        got |= {names.get(k, k): row[k] for k in partials}  # the same beside every text column
+    return got
+
+
+TEXT_SUMS = ("numeric", "integral", "digits", "boolean")
+
+
 def profile_partials(fields, untyped: bool = False) -> dict[str, Column]:
     """The sums behind a profile; those of several tables of one layout add up."""
     partials: dict[str, Column] = {"rows": F.count(F.lit(1))}

@@ -300,7 +300,6 @@ def extraction_report(
 
 def inferred(df: DataFrame) -> DataFrame:
     """Give text columns the type that all their present values share (integer, float, truth value)."""
-    from ..functions.numeric import text_to_double, text_to_long
     from ..operators.profile import profile_table
 
     profile = profile_table(df, untyped=True)
@@ -308,10 +307,11 @@ def inferred(df: DataFrame) -> DataFrame:
     for c in profile.columns:
         value = col(c.name)
         if c.dtype == "string" and c.non_null:
+            # the profile has tried every value: what is no number is null
             if c.integral == profile.rows:
-                value = text_to_long(value)
+                value = value.try_cast("bigint")
             elif c.numeric == c.non_null:
-                value = text_to_double(value)
+                value = value.try_cast("double")
             elif c.boolean == profile.rows:
                 value = value.try_cast("boolean")
         out.append(value.alias(c.name))

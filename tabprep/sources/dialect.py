@@ -76,7 +76,7 @@ def _lines(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFr
         "line_hash",
         (~F.col("valid") & F.col("text").rlike(r"[\x80-\x9f]")).alias("c1"),
         (_occurrences(F.col("text"), '"') % 2 == 1).alias("open_quote"),
-        F.regexp_replace("text", '"[^"]*+"', "").alias("bare"),
+        F.when(F.contains("text", F.lit('"')), F.regexp_replace("text", '"[^"]*+"', "")).otherwise(F.col("text")).alias("bare"),
     )
 
 

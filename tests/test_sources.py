@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from tabprep.operators.clean import clean_table
@@ -142,3 +144,36 @@ def test_only_named_files_are_taken(spark, write_files):
     listed = [r.path for r in file_inventory(spark, folder).where("name = 'b.csv'").collect()]
     (record,) = extract(spark, folder, paths=listed)
     assert record.name == "b.csv" and record.df.collect()[0].asDict() in ({"x": "3", "y": "4"}, {"X": "3", "Y": "4"})
+
+
+def test_profile_of_many_text_columns_is_code_that_the_jvm_compiles(spark, monkeypatch):
+    """HotSpot interprets methods above 8000 bytes; text columns beside others give the same sums."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from tabprep.operators import profile
+
+    words = ["1", " 2 ", "3.5", "True", "x", None, "12345678901234567890", "-0"]
+    df = spark.range(40).repartition(3).select(
+        "id",
+        F.when(F.col("id") % 3 > 0, F.lit(1.5)).otherwise(F.lit(float("nan"))).alias("d"),
+        *[F.element_at(F.array(*map(F.lit, words)), ((F.col("id") * (i + 1)) % len(words) + 1).cast("int")).alias(f"t`{i}") for i in range(12)],
+    )
+    run, texts = Classic.collect, []
+
+    def collect(self):
+        texts.append(self._jdf.queryExecution().explainString(getattr(spark._jvm.org.apache.spark.sql.execution.ExplainMode, "fromString")("codegen")))
+        return run(self)
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        monkeypatch.setattr(Classic, "collect", collect)
+        got = profile.profile_sums(df, untyped=True)
+    finally:
+        monkeypatch.undo()
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(int(n) for t in texts for n in re.findall(r"maxMethodCodeSize:(\d+)", t)) < 8000
+    partials = profile.profile_partials(df.schema.fields, True)
+    expected = df.agg(*[e.alias(k) for k, e in partials.items()]).first().asDict()
+    assert {k: got[k] for k in expected} == expected
+    assert profile.profile_sums(df.where("false"), untyped=True) == dict.fromkeys(expected, 0)
